@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.model import Retail
-from tillsight.plans import views
+from tillsight.oracle import DASHBOARD_COUNTRIES
+from tillsight.plans import dashboard, eda, views
 from tillsight.sources import synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,26 @@ QUERIES: dict[str, Query] = {
         "topn_customer_share", "country_revenue", "country_ranking", "intl_top10",
         "product_ranking", "pareto_80", "pareto_count", "pareto_curve_85", "return_rate")
 }
+
+QUERIES.update({
+    name: _mart(getattr(dashboard, name)) for name in (
+        "monthly_rolling_avg", "revenue_by_year", "top10_countries", "heatmap_month_year",
+        "top10_products", "top10_units", "pareto_rows", "pareto_cutoff",
+        "price_volume_top200", "revenue_guest_split", "top10_customers",
+        "new_customers_monthly", "hist_customer_revenue", "returns_kpis",
+        "returns_by_country", "returns_by_product", "returns_monthly", "filter_options")
+})
+QUERIES.update({
+    name: _mart(getattr(eda, name)) for name in (
+        "kpi_overview", "peak_month", "home_market_share", "intl_markets",
+        "revenue_by_weekday", "weekday_extremes", "retention_split",
+        "hist_orders_per_customer")
+})
+
+
+def _kpi_filtered(r: Retail) -> DataFrame:
+    """KPI cards under the dashboard's default selection: all years, five countries."""
+    return dashboard.kpi_cards(r.filtered(years=None, countries=DASHBOARD_COUNTRIES))
+
+
+QUERIES["kpi_filtered"] = _mart(_kpi_filtered)
