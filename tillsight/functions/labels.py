@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillsight.functions.numeric import dround
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -54,15 +56,19 @@ def ellipsize(text: Column | str, width: int = 28) -> Column:
 
 
 def currency_short(value: Column | str) -> Column:
-    """``£1.23M`` from one million, ``£4.6K`` from one thousand, else ``£12``."""
+    """``£1.23M`` from one million, ``£4.6K`` from one thousand, else ``£12``.
+
+    Values are rounded half-up before formatting, so the text does not depend on
+    how a formatter treats binary halves."""
     v = _c(value).cast("double")
-    return (F.when(v >= 1_000_000, F.format_string("£%.2fM", v / 1_000_000))
-            .when(v >= 1_000, F.format_string("£%.1fK", v / 1_000))
-            .otherwise(F.format_string("£%.0f", v)))
+    return (F.when(v >= 1_000_000, F.format_string("£%.2fM", dround(v / 1_000_000, 2)))
+            .when(v >= 1_000, F.format_string("£%.1fK", dround(v / 1_000, 1)))
+            .otherwise(F.format_string("£%.0f", dround(v, 0))))
 
 
 def delta_arrow(delta: Column | str) -> Column:
     """``▲ 1.2% vs prev period`` / ``▼ …`` for a signed percentage change."""
     d = _c(delta).cast("double")
     return F.format_string("%s %.1f%% vs prev period",
-                           F.when(d >= 0, F.lit("▲")).otherwise(F.lit("▼")), F.abs(d))
+                           F.when(d >= 0, F.lit("▲")).otherwise(F.lit("▼")),
+                           dround(F.abs(d), 1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.model import Retail
 from tillsight.oracle import DASHBOARD_COUNTRIES
@@ -52,3 +53,103 @@ def _kpi_filtered(r: Retail) -> DataFrame:
 
 
 QUERIES["kpi_filtered"] = _mart(_kpi_filtered)
+
+
+# -- ETL: raw export → clean tables → star schema, on the test tables ----------------
+
+def _cleaned(spark: SparkSession, folder: str):
+    from tillsight.plans.etl import run_cleaning
+    return run_cleaning(synthetic.raw_transactions(spark, folder))
+
+
+def _etl(fn: Callable) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(_cleaned(spark, folder))
+    run.__name__ = getattr(fn, "__name__", "etl")
+    return run
+
+
+def _csv_roundtrip_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw export written as CSV with the reference header, read back by the
+    raw-CSV source (bad-line rule, NA tokens, explicit schema)."""
+    from tillsight.sources.csv import RAW_COLUMNS, read_raw_transactions, write_csv
+    from tillsight.sources.sinks import scratch_path
+    raw = synthetic.raw_transactions(spark, folder)
+    path = scratch_path(spark, "raw-csv")
+    write_csv(raw.withColumnsRenamed({v: k for k, v in RAW_COLUMNS.items()}), path)
+    return read_raw_transactions(spark, path)
+
+
+def _csv_roundtrip_clean(c) -> DataFrame:
+    from tillsight.sources.csv import CLEAN_SCHEMA
+    from tillsight.sources.sinks import roundtrip_csv
+    return roundtrip_csv(c.sales, CLEAN_SCHEMA)
+
+
+def _parquet_roundtrip_clean(c) -> DataFrame:
+    from tillsight.sources.sinks import roundtrip_parquet
+    return roundtrip_parquet(c.sales, partition_by=["year", "month"])
+
+
+def _modal_name_per_brand(spark: SparkSession, folder: str) -> DataFrame:
+    """The modal-description operator over the part table: most frequent name per
+    brand, ties to the smallest name."""
+    from tillsight.operators.cleaning import modal_value
+    from tillsight.sources.tables import read_table
+    part = read_table(spark, folder, "part").select(
+        F.col("p_brand").alias("brand"), F.col("p_name").alias("description"))
+    return modal_value(part, "brand", "description")
+
+
+def _register_etl() -> None:
+    from tillsight.operators import cleaning, quality
+    from tillsight.operators.sampling import sample_fixed_n
+    from tillsight.plans import etl, star
+    from tillsight.sources.tables import scan_table
+
+    QUERIES.update({
+        "scan_table": lambda s, d: scan_table(s, d, "orders"),
+        "scan_csv_clean": _csv_roundtrip_raw,
+        "roundtrip_csv": _etl(_csv_roundtrip_clean),
+        "roundtrip_parquet": _etl(_parquet_roundtrip_clean),
+        "sample_fixed_n": _etl(lambda c: sample_fixed_n(c.sales, 5000, seed=42)),
+        "clean_sales": _etl(lambda c: c.sales),
+        "clean_returns": _etl(lambda c: c.returns),
+        "split_sales_returns": _etl(lambda c: etl.split_summary(c.raw)),
+        "filter_product_codes": _etl(lambda c: cleaning.filter_product_codes(
+            cleaning.split_sales_returns(c.raw)[0])),
+        "filter_valid_lines": _etl(lambda c: cleaning.filter_valid_lines(
+            cleaning.filter_product_codes(cleaning.split_sales_returns(c.raw)[0]))),
+        "filter_country": _etl(lambda c: cleaning.filter_country(cleaning.filter_valid_lines(
+            cleaning.filter_product_codes(cleaning.split_sales_returns(c.raw)[0])))),
+        "impute_description": _modal_name_per_brand,
+        "guest_flag": _etl(lambda c: etl.guest_flag(c.sales)),
+        "invoice_calendar": _etl(lambda c: etl.invoice_calendar(c.sales)),
+        "cleaning_report": _etl(lambda c: cleaning.cleaning_report(c.raw, c.sales, c.returns)),
+        "dq_profile": _etl(lambda c: quality.dq_profile(c.raw)),
+        "describe_numeric": _etl(lambda c: quality.describe_numeric(
+            etl.eda_lines(c.raw), etl.describe_columns())),
+        "dim_customers": _etl(lambda c: c.star().customers),
+        "dim_products": _etl(lambda c: c.star().products),
+        "dim_invoices": _etl(lambda c: c.star().invoices),
+        "fact_items": _etl(lambda c: c.star().items),
+        "items_revenue": _etl(lambda c: c.star().items.select(
+            "invoice_no", "stock_code", "quantity", "unit_price", "revenue")),
+        "fact_returns": _etl(lambda c: c.star().returns),
+        "semi_join_items": _etl(lambda c: c.sales.join(
+            c.star().invoices.select("invoice_no"), "invoice_no", "left_semi")
+            .select("invoice_no", "stock_code", "quantity")),
+        "returns_reassign_orphans": _etl(lambda c: star.reassign_orphans(
+            c.returns, c.star().customers).select(
+                "invoice_no", "stock_code", "customer_id", "reassigned")),
+        "customer_orphans": _etl(lambda c: quality.customer_orphans(c.star().customers)),
+        "load_row_counts": _etl(lambda c: star.row_counts(c.star())),
+        "dq_not_null": _etl(lambda c: quality.dq_not_null(c.star())),
+        "dq_check": _etl(lambda c: quality.dq_check(c.star())),
+        "dq_pk_dups": _etl(lambda c: quality.dq_pk_dups(c.star())),
+        "dq_fk_orphans": _etl(lambda c: quality.dq_fk_orphans(c.star())),
+        "scalar_labels": _mart(etl.scalar_labels),
+    })
+
+
+_register_etl()

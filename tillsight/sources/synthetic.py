@@ -129,3 +129,32 @@ def load(spark: SparkSession, folder: str) -> Retail:
         products=products(spark, folder),
         customers=customers(spark, folder, inv, itm),
     )
+
+
+def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The test tables as a raw transaction export (snake_case columns).
+
+    Return lines (``l_returnflag = 'R'``) get a ``C`` invoice prefix and a
+    negative quantity, as the export writes them; guests have no customer id
+    (float id otherwise); the description is the part name.
+    """
+    ret = F.col("l_returnflag") == F.lit("R")
+    o = read_table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    header = o.join(_customer_country(spark, folder), o.o_custkey == F.col("c_custkey"))
+    part = read_table(spark, folder, "part").select("p_partkey", "p_name")
+    lines = _lines(spark, folder).join(header, F.col("l_orderkey") == F.col("o_orderkey")) \
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    qty = F.col("l_quantity").cast("int")
+    return lines.select(
+        F.when(ret, F.concat(F.lit("C"), F.col("l_orderkey").cast("string")))
+        .otherwise(F.col("l_orderkey").cast("string")).alias("invoice_no"),
+        F.col("l_partkey").cast("string").alias("stock_code"),
+        F.col("p_name").alias("description"),
+        F.when(ret, -qty).otherwise(qty).alias("quantity"),
+        F.col("o_orderdate").alias("invoice_date"),
+        _unit_price(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
+        F.when(F.col("o_orderpriority") == F.lit(GUEST_PRIORITY), F.lit(None).cast("double"))
+        .otherwise(F.col("o_custkey").cast("double")).alias("customer_id"),
+        F.col("n_name").alias("country"),
+    )
