@@ -81,11 +81,17 @@ def top_customers(r: Retail, k: int = 10) -> DataFrame:
         dround(ddiv("rev", "total_invoices"), 2).alias("avg_order_value"))
 
 
-def rfm_base(r: Retail, reference_date: str = P.RFM_REFERENCE_DATE) -> DataFrame:
+def recency_days(reference_date: str, last: F.Column) -> F.Column:
+    """Whole days of ``reference - last`` truncated toward zero (the day field of
+    the interval, not a calendar-date difference): -12 h → 0, 3.5 days → 3."""
     ref = F.lit(reference_date).cast("timestamp_ntz")
+    return F.extract(F.lit("DAY"), ref - last).cast("int")
+
+
+def rfm_base(r: Retail, reference_date: str = P.RFM_REFERENCE_DATE) -> DataFrame:
     return _customer_base(r).select(
         "customer_id", "country",
-        F.extract(F.lit("DAY"), ref - F.col("last_date")).cast("int").alias("recency_days"),
+        recency_days(reference_date, F.col("last_date")).alias("recency_days"),
         F.col("total_invoices").alias("frequency"),
         F.col("rev").alias("monetary_dec"))
 
