@@ -41,8 +41,13 @@ class Retail:
     returns: DataFrame
     products: DataFrame
     customers: DataFrame
+    # optional stored forms of the two derived shapes (see tillsight.warehouse)
+    totals: DataFrame | None = None
+    lines: DataFrame | None = None
 
     def invoice_totals(self) -> DataFrame:
+        if self.totals is not None:
+            return self.totals
         per_invoice = self.items.groupBy("invoice_no").agg(
             F.sum("revenue").alias("revenue"),
             F.sum("quantity").alias("units"),
@@ -52,6 +57,8 @@ class Retail:
 
     def sales(self) -> DataFrame:
         """Sale lines with invoice attributes (``customer_id`` NULL for guests)."""
+        if self.lines is not None:
+            return self.lines
         inv = self.invoices.select(
             "invoice_no",
             F.when(F.col("is_guest"), F.lit(None)).otherwise(F.col("customer_id"))
@@ -69,11 +76,17 @@ class Retail:
         ``years``: list of years to keep (``None`` = all; an empty list keeps
         nothing).  ``countries``: list of countries (``None`` or empty = all).
         """
-        inv, ret = self.invoices, self.returns
+        inv, ret, tot, lin = self.invoices, self.returns, self.totals, self.lines
         if years is not None:
-            inv = inv.filter(F.col("year").isin(list(years)))
+            keep_year = F.col("year").isin(list(years))
+            inv = inv.filter(keep_year)
             ret = ret.filter(F.year("invoice_date").isin(list(years)))
+            tot = tot.filter(keep_year) if tot is not None else None
+            lin = lin.filter(keep_year) if lin is not None else None
         if countries:
-            inv = inv.filter(F.col("country").isin(list(countries)))
-            ret = ret.filter(F.col("country").isin(list(countries)))
-        return replace(self, invoices=inv, returns=ret)
+            keep_country = F.col("country").isin(list(countries))
+            inv = inv.filter(keep_country)
+            ret = ret.filter(keep_country)
+            tot = tot.filter(keep_country) if tot is not None else None
+            lin = lin.filter(keep_country) if lin is not None else None
+        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin)

@@ -86,9 +86,12 @@ def dq_fk_orphans(r: Retail) -> DataFrame:
     ]
     parts = []
     for table, fk, parent, child, par in links:
-        orphans = child.select(fk).filter(F.col(fk).isNotNull()) \
-            .join(par.select(fk), fk, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans")).select(
+        # rows per key first (partial aggregation), so the anti-join moves one
+        # row per distinct key instead of every child row
+        per_key = child.filter(F.col(fk).isNotNull()).groupBy(fk) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_key.join(par.select(fk), fk, "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
             F.lit(table).alias("table"), F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
             "orphans"))
     return _union(parts)
@@ -107,52 +110,56 @@ def dq_profile(raw: DataFrame) -> DataFrame:
              "no_customer", pct("no_customer", "rows", 1).alias("no_customer_pct"))
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """Exact linear-interpolation percentiles (as ``numpy.percentile``), distributed.
+def exact_percentiles(long: DataFrame, probs: list[float]) -> DataFrame:
+    """Exact linear-interpolation percentiles (as ``numpy.percentile``) per column.
 
-    Values are counted per distinct value (partial aggregation), numbered in
-    order with cumulative counts across partitions, and each requested position
-    is located with one aggregate — no group holds the column.
+    ``long`` has columns ``column`` and ``v`` (double).  Values are counted per
+    (column, value) — partial aggregation — and numbered in one global order with
+    running counts across partitions; each requested position is then located
+    by one grouped aggregate.  No group or task holds a whole column.
     """
-    v = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    per_value = v.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
-    numbered = with_row_numbers(per_value, [("v", True)], row_number="__i",
-                                running_sums={"cum": "cnt"})
-    n = per_value.agg(F.sum("cnt")).scalar()
+    per_value = long.filter(F.col("v").isNotNull()).groupBy("column", "v") \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    numbered = with_row_numbers(per_value, [("column", True), ("v", True)],
+                                row_number="__i", running_sums={"cum": "cnt"})
+    # one row per input column: bounded by the column list
+    stats = numbered.groupBy("column").agg(
+        F.min(F.col("cum") - F.col("cnt")).alias("start"), F.sum("cnt").alias("n"))
+    local = numbered.join(F.broadcast(stats), "column") \
+        .withColumn("pos", F.col("cum") - F.col("start"))
     aggs = []
     for i, p in enumerate(probs):
-        h = (n - 1).cast("double") * F.lit(float(p))
-        lo_i, hi_i = F.floor(h), F.ceil(h)
-        aggs += [F.min(F.when(F.col("cum") > lo_i, F.col("v"))).alias(f"lo{i}"),
-                 F.min(F.when(F.col("cum") > hi_i, F.col("v"))).alias(f"hi{i}"),
-                 F.first(h - lo_i, ignorenulls=True).alias(f"fr{i}")]
-    found = numbered.agg(*aggs)
-    return found.select(*[
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("pos") > F.floor(h), F.col("v"))).alias(f"lo{i}"),
+                 F.min(F.when(F.col("pos") > F.ceil(h), F.col("v"))).alias(f"hi{i}"),
+                 F.first(h - F.floor(h)).alias(f"fr{i}")]
+    found = local.groupBy("column").agg(*aggs)
+    return found.select("column", *[
         (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}"))
         .alias(f"p{i}") for i in range(len(probs))])
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per column (one row each)."""
-    parts = []
-    for c in columns:
-        x = F.col(c)
-        moments = df.agg(
-            F.count(x).alias("count"),
-            F.sum(x).alias("s"),
-            F.stddev_samp(x.cast("double")).alias("std"),
-            F.min(x.cast("double")).alias("min"),
-            F.max(x.cast("double")).alias("max"))
-        q = exact_percentiles(df, c, [0.25, 0.5, 0.75])
-        qs = q.select(F.struct("p0", "p1", "p2")).scalar()
-        parts.append(moments.select(
-            F.lit(c).alias("column"), "count",
-            dround(F.col("s").cast("double") / F.col("count").cast("double"), 6).alias("mean"),
-            dround("std", 6).alias("std"), "min",
-            dround(qs.getField("p0"), 6).alias("p25"),
-            dround(qs.getField("p1"), 6).alias("p50"),
-            dround(qs.getField("p2"), 6).alias("p75"), "max"))
-    return _union(parts)
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per column (one row each).
+
+    The columns are unpivoted into one long table (a single scan); sums stay
+    exact decimals, the spread is computed on doubles."""
+    long = df.select(*[F.col(c).cast("decimal(38,6)").alias(c) for c in columns]) \
+        .unpivot([], columns, "column", "x") \
+        .select("column", "x", F.col("x").cast("double").alias("v"))
+    moments = long.groupBy("column").agg(
+        F.count("x").alias("count"),
+        F.sum("x").alias("s"),
+        F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"))
+    q = exact_percentiles(long.select("column", "v"), [0.25, 0.5, 0.75])
+    return moments.join(q, "column", "left").select(
+        "column", "count",
+        dround(F.col("s").cast("double") / F.col("count").cast("double"), 6).alias("mean"),
+        dround("std", 6).alias("std"), "min",
+        dround("p0", 6).alias("p25"), dround("p1", 6).alias("p50"),
+        dround("p2", 6).alias("p75"), "max")
 
 
 def customer_orphans(customers: DataFrame) -> DataFrame:

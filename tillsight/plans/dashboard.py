@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight import params as P
-from tillsight.functions.labels import customer_name, ellipsize, month_abbr, year_month
+from tillsight.functions.labels import customer_name, ellipsize, year_month
 from tillsight.functions.numeric import as_double, ddiv, pct
 from tillsight.model import Retail
 from tillsight.operators.histogram import equal_width_histogram
@@ -51,10 +51,6 @@ def kpi_cards(r: Retail) -> DataFrame:
 
 # -- tab 1: revenue trends -----------------------------------------------------------
 
-def _sales(r: Retail) -> DataFrame:
-    return r.sales()
-
-
 def monthly_rolling_avg(r: Retail, window_rows: int = 3) -> DataFrame:
     """Revenue per ``yyyy-MM`` and the mean of the last ``window_rows`` months shown
     (rows, not calendar months; fewer rows at the start)."""
@@ -221,13 +217,9 @@ def returns_monthly(r: Retail) -> DataFrame:
 
 
 def filter_options(r: Retail) -> DataFrame:
-    """Distinct years and countries offered by the filter (sorted by the caller)."""
-    years = r.invoices.join(r.items.select("invoice_no"), "invoice_no", "left_semi") \
-        .select(F.lit("year").alias("field"), F.col("year").cast("string").alias("value"))
-    countries = r.invoices.join(r.items.select("invoice_no"), "invoice_no", "left_semi") \
-        .select(F.lit("country").alias("field"), F.col("country").alias("value"))
+    """Distinct years and countries offered by the filter (invoices with sales)."""
+    inv = r.invoice_totals()
+    years = inv.select(F.lit("year").alias("field"), F.col("year").cast("string").alias("value"))
+    countries = inv.select(F.lit("country").alias("field"), F.col("country").alias("value"))
     return years.union(countries).distinct()
 
-
-def month_label(month: F.Column) -> F.Column:
-    return month_abbr(month)

@@ -20,8 +20,11 @@ class Cleaned:
     raw: DataFrame
     sales: DataFrame
     returns: DataFrame
+    stored_star: Retail | None = None
 
     def star(self) -> Retail:
+        if self.stored_star is not None:
+            return self.stored_star
         return star.build(self.sales, self.returns)
 
 

@@ -94,16 +94,22 @@ def fact_items(sales: DataFrame, invoices: DataFrame) -> DataFrame:
 
 
 def reassign_orphans(returns: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer ids missing from the customer dimension become the guest id."""
-    known = customers.select(F.col("customer_id").alias("__known"))
+    """Customer ids missing from the customer dimension become the guest id.
+
+    Guest lines (no id) skip the lookup: the guest member is always present and
+    the guest id is the hottest key, so only identified lines are joined."""
     cid = F.coalesce(_customer_key(F.col("customer_id")), F.lit(P.GUEST_ID).cast("long"))
-    joined = returns.withColumn("__cid", cid).join(
-        known, F.col("__cid") == F.col("__known"), "left")
-    return joined.withColumn("reassigned", F.col("__known").isNull()) \
-        .withColumn("customer_id", F.when(F.col("__known").isNull(),
-                                          F.lit(P.GUEST_ID).cast("long"))
+    tagged = returns.withColumn("__cid", cid)
+    guests = tagged.filter(F.col("__cid") == P.GUEST_ID) \
+        .withColumn("reassigned", F.lit(False))
+    known = customers.select(F.col("customer_id").alias("__known"))
+    others = tagged.filter(F.col("__cid") != P.GUEST_ID) \
+        .join(known, F.col("__cid") == F.col("__known"), "left") \
+        .withColumn("reassigned", F.col("__known").isNull()) \
+        .withColumn("__cid", F.when(F.col("__known").isNull(), F.lit(P.GUEST_ID).cast("long"))
                     .otherwise(F.col("__cid"))) \
-        .drop("__cid", "__known")
+        .drop("__known")
+    return guests.unionByName(others).withColumn("customer_id", F.col("__cid")).drop("__cid")
 
 
 def fact_returns(returns: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:

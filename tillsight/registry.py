@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.model import Retail
 from tillsight.oracle import DASHBOARD_COUNTRIES
 from tillsight.plans import dashboard, eda, views
+from tillsight import warehouse
 from tillsight.sources import synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _mart(fn: Callable[[Retail], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(synthetic.load(spark, folder))
+        return fn(warehouse.synthetic(spark, folder))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -58,8 +59,7 @@ QUERIES["kpi_filtered"] = _mart(_kpi_filtered)
 # -- ETL: raw export → clean tables → star schema, on the test tables ----------------
 
 def _cleaned(spark: SparkSession, folder: str):
-    from tillsight.plans.etl import run_cleaning
-    return run_cleaning(synthetic.raw_transactions(spark, folder))
+    return warehouse.cleaned(spark, folder)
 
 
 def _etl(fn: Callable) -> Query:
