@@ -28,10 +28,14 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.model import Retail
+from tillsight.params import GUEST_ID
 from tillsight.sources.sinks import scratch_path
 
 _LOCK = threading.Lock()
@@ -51,19 +55,49 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> D
 
 
 def materialize(r: Retail, name: str = "warehouse") -> Retail:
+    """Store ``r``.  The line ⋈ header join runs once: the line table is written
+    from the stored headers, and the invoice summary and the line fact are then
+    derived from the stored lines (no second pass over the raw join)."""
     spark = r.items.sparkSession
     base = scratch_path(spark, name)
-    lines = _write(r.sales(), f"{base}/lines", ["year", "month"])
-    totals = _write(r.invoice_totals(), f"{base}/totals", ["year"])
-    return Retail(
-        invoices=_write(r.invoices, f"{base}/invoices", ["year"]),
-        items=_write(r.items, f"{base}/items"),
-        returns=_write(r.returns, f"{base}/returns"),
-        products=_write(r.products, f"{base}/products"),
-        customers=_write(r.customers, f"{base}/customers"),
-        totals=totals,
-        lines=lines,
-    )
+    totals_cols = r.invoice_totals().columns
+
+    def fact_chain() -> dict[str, DataFrame]:
+        invoices = _write(r.invoices, f"{base}/invoices", ["year"])
+        lines = _write(replace(r, invoices=invoices).sales(), f"{base}/lines", ["year", "month"])
+        per_invoice = lines.groupBy(*invoices.columns).agg(
+            F.sum("revenue").alias("revenue"),
+            F.sum("quantity").alias("units"),
+            F.count(F.lit(1)).alias("n_lines"))
+        # the line table blanks the guest id; the summary carries the star-schema key
+        per_invoice = per_invoice.withColumn(
+            "customer_id", F.when(F.col("is_guest"), F.lit(GUEST_ID).cast("long"))
+            .otherwise(F.col("customer_id")))
+        rest = _parallel({
+            "totals": lambda: _write(per_invoice.select(*totals_cols), f"{base}/totals",
+                                     ["year"]),
+            "items": lambda: _write(lines.select(*r.items.columns), f"{base}/items"),
+        })
+        return {"invoices": invoices, "lines": lines, **rest}
+
+    # independent tables are written by concurrent jobs
+    out = _parallel({
+        "facts": fact_chain,
+        "returns": lambda: _write(r.returns, f"{base}/returns"),
+        "products": lambda: _write(r.products, f"{base}/products"),
+        "customers": lambda: _write(r.customers, f"{base}/customers"),
+    })
+    facts = out.pop("facts")
+    return Retail(invoices=facts["invoices"], items=facts["items"], returns=out["returns"],
+                  products=out["products"], customers=out["customers"],
+                  totals=facts["totals"], lines=facts["lines"])
+
+
+def _parallel(jobs: dict) -> dict:
+    """Run independent builds as concurrent Spark jobs (one driver thread each)."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def _cached(spark: SparkSession, kind: str, folder: str, build):
@@ -89,16 +123,19 @@ def cleaned(spark: SparkSession, folder: str):
     def build():
         c = run_cleaning(syn.raw_transactions(spark, folder))
         base = scratch_path(spark, "etl")
-        sales = _write(c.sales, f"{base}/clean_sales", ["year", "month"])
-        returns = _write(c.returns, f"{base}/clean_returns")
-        stored = Cleaned(c.raw, sales, returns)
+        flat = _parallel({
+            "sales": lambda: _write(c.sales, f"{base}/clean_sales", ["year", "month"]),
+            "returns": lambda: _write(c.returns, f"{base}/clean_returns"),
+        })
+        stored = Cleaned(c.raw, flat["sales"], flat["returns"])
         star = stored.star()
-        star_stored = Retail(
-            invoices=_write(star.invoices, f"{base}/invoices", ["year"]),
-            items=_write(star.items, f"{base}/invoice_items"),
-            returns=_write(star.returns, f"{base}/returns"),
-            products=_write(star.products, f"{base}/products"),
-            customers=_write(star.customers, f"{base}/customers"))
-        return Cleaned(c.raw, sales, returns, star_stored)
+        t = _parallel({
+            "invoices": lambda: _write(star.invoices, f"{base}/invoices", ["year"]),
+            "items": lambda: _write(star.items, f"{base}/invoice_items"),
+            "returns": lambda: _write(star.returns, f"{base}/returns"),
+            "products": lambda: _write(star.products, f"{base}/products"),
+            "customers": lambda: _write(star.customers, f"{base}/customers"),
+        })
+        return Cleaned(c.raw, flat["sales"], flat["returns"], Retail(**t))
 
     return _cached(spark, "etl", folder, build)
