@@ -76,3 +76,32 @@ def test_only_the_partition_summary_is_gathered(spark, lines):
     assert gathered
     for i in gathered:
         assert "HashAggregate(keys=[__pid" in rows[i + 1], rows[i + 1]
+
+
+def test_sample_fixed_n_is_exact_and_layout_independent(spark, lines):
+    from tillsight.operators.sampling import sample_fixed_n
+    a = sample_fixed_n(lines, 500, seed=7)
+    b = sample_fixed_n(lines.repartition(13), 500, seed=7)
+    assert a.count() == 500
+    _same(a, b)
+    assert sample_fixed_n(lines, 10 ** 9).count() == lines.count()
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=5))
+def test_rank_ntile_property(spark, values, parts):
+    """Random inputs with many ties, any partition count: equal to plain windows."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
+    w = Window.orderBy(F.col("v").desc())
+    ref = df.withColumn("rk", F.rank().over(w)).withColumn("cum", F.sum("v").over(w)) \
+        .withColumn("t", F.ntile(3).over(Window.orderBy("v", "id")))
+    mine = with_rank(df, "v", ascending=False, rank="rk", range_sums={"cum": "v"},
+                     partitions=parts)
+    mine = with_ntile(mine, [("v", True), ("id", True)], 3, "t", partitions=parts)
+    cols = ["id", "rk", F.col("cum").cast("long"), "t"]
+    _same(mine.select(*cols), ref.select(*cols))

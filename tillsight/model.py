@@ -66,10 +66,6 @@ class Retail:
             "country", "invoice_date", "year", "month", "is_guest")
         return self.items.join(inv, "invoice_no")
 
-    def returns_dated(self) -> DataFrame:
-        """Returns with ``year`` derived, as the dashboard filters them."""
-        return self.returns.withColumn("year", F.year("invoice_date"))
-
     def filtered(self, years=None, countries=None) -> "Retail":
         """Dashboard filter applied to the invoice headers and the returns.
 

@@ -17,11 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillsight.functions.numeric import MONEY, PRICE
 from tillsight.model import Retail
-from tillsight.params import GUEST_COUNTRY, GUEST_ID, GUEST_PRIORITY
+from tillsight.params import GUEST_ID, GUEST_PRIORITY
 from tillsight.sources.tables import read_table
 
 
@@ -107,16 +106,8 @@ def customers(spark: SparkSession, folder: str, inv: DataFrame | None = None,
     registered = _customer_country(spark, folder).select(
         F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country"),
         F.lit(False).alias("is_guest"))
-    guest = spark.createDataFrame(
-        [(GUEST_ID, GUEST_COUNTRY, True, None, None)],
-        T.StructType([
-            T.StructField("customer_id", T.LongType(), False),
-            T.StructField("country", T.StringType(), True),
-            T.StructField("is_guest", T.BooleanType(), False),
-            T.StructField("first_purchase", T.TimestampNTZType(), True),
-            T.StructField("last_purchase", T.TimestampNTZType(), True),
-        ]))
-    return registered.join(dates, "customer_id", "left").unionByName(guest)
+    from tillsight.plans.star import guest_member
+    return registered.join(dates, "customer_id", "left").unionByName(guest_member(spark))
 
 
 def load(spark: SparkSession, folder: str) -> Retail:
