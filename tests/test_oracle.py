@@ -17,7 +17,7 @@ def test_every_key_has_oracle_or_is_rows_only():
 @pytest.mark.parametrize("key", KEYS)
 def test_key_matches_oracle(spark, key):
     from tillsight.verify import compare
-    result = compare(spark, SF_SMALL, [key], verbose=False)[key]
+    result = compare(spark, SF_SMALL, [key], verbose=False, strict=True)[key]
     assert result.startswith("ok") or result.startswith("rows-only"), result
 
 

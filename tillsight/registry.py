@@ -16,9 +16,19 @@ from tillsight.sources import synthetic
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def output_edge(df: DataFrame) -> DataFrame:
+    """Money leaves the engine as double: decimal columns are cast at the edge."""
+    from pyspark.sql.types import DecimalType
+    decimals = {f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)}
+    if not decimals:
+        return df
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in decimals
+                       else F.col(f"`{c}`") for c in df.columns])
+
+
 def _mart(fn: Callable[[Retail], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(warehouse.synthetic(spark, folder))
+        return output_edge(fn(warehouse.synthetic(spark, folder)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -64,7 +74,7 @@ def _cleaned(spark: SparkSession, folder: str):
 
 def _etl(fn: Callable) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(_cleaned(spark, folder))
+        return output_edge(fn(_cleaned(spark, folder)))
     run.__name__ = getattr(fn, "__name__", "etl")
     return run
 
@@ -109,7 +119,7 @@ def _register_etl() -> None:
 
     QUERIES.update({
         "scan_table": lambda s, d: scan_table(s, d, "orders"),
-        "scan_csv_clean": _csv_roundtrip_raw,
+        "scan_csv_clean": lambda s, d: output_edge(_csv_roundtrip_raw(s, d)),
         "roundtrip_csv": _etl(_csv_roundtrip_clean),
         "roundtrip_parquet": _etl(_parquet_roundtrip_clean),
         "sample_fixed_n": _etl(lambda c: sample_fixed_n(c.sales, 5000, seed=42)),
