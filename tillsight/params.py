@@ -40,3 +40,14 @@ GUEST_PRIORITY = "4-NOT SPECIFIED"
 # Home market of the synthetic tables (first nation by name) and RFM reference date.
 HOME_COUNTRY = "NATION_0"
 RFM_REFERENCE_DATE = "2001-08-01 00:00:00"
+
+# Churn model (described by the reference without code; these are our definitions):
+# features from purchases before the cutoff, label = no purchase in the following
+# horizon; a retention incentive costs INCENTIVE_COST and keeps RETENTION_SUCCESS of
+# the customers it reaches, each worth their revenue of the year before the cutoff.
+CHURN_CUTOFF = "2000-08-01 00:00:00"
+CHURN_HORIZON_DAYS = 365
+CHURN_INCENTIVE_COST = 100.0
+CHURN_RETENTION_SUCCESS = 0.3
+CHURN_THRESHOLD = 0.5
+CHURN_SEED = 42

@@ -66,6 +66,18 @@ def _kpi_filtered(r: Retail) -> DataFrame:
 QUERIES["kpi_filtered"] = _mart(_kpi_filtered)
 
 
+def _register_churn() -> None:
+    from tillsight.plans import churn
+    QUERIES.update({
+        "churn_features": _mart(churn.churn_features),
+        "churn_eval": _mart(churn.churn_eval),
+        "churn_cost_benefit": _mart(churn.churn_cost_benefit),
+    })
+
+
+_register_churn()
+
+
 # -- ETL: raw export → clean tables → star schema, on the test tables ----------------
 
 def _cleaned(spark: SparkSession, folder: str):
