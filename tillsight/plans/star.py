@@ -86,8 +86,10 @@ def dim_invoices(sales: DataFrame) -> DataFrame:
         "a.country", "a.invoice_date", "a.year", "a.month", "a.is_guest")
 
 
-def fact_items(sales: DataFrame, invoices: DataFrame) -> DataFrame:
-    kept = sales.join(invoices.select("invoice_no"), "invoice_no", "left_semi")
+def fact_items(sales: DataFrame, invoices: DataFrame | None = None) -> DataFrame:
+    """Sales lines whose invoice is in ``invoices`` (no filter when ``None``)."""
+    kept = sales if invoices is None else \
+        sales.join(invoices.select("invoice_no"), "invoice_no", "left_semi")
     return kept.select(
         "invoice_no", "stock_code", "quantity", "unit_price",
         (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("revenue"))
@@ -112,8 +114,11 @@ def reassign_orphans(returns: DataFrame, customers: DataFrame) -> DataFrame:
     return guests.unionByName(others).withColumn("customer_id", F.col("__cid")).drop("__cid")
 
 
-def fact_returns(returns: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    known = returns.join(products.select("stock_code"), "stock_code", "left_semi")
+def fact_returns(returns: DataFrame, products: DataFrame | None,
+                 customers: DataFrame) -> DataFrame:
+    """Returns of known codes (no code filter when ``products`` is ``None``)."""
+    known = returns if products is None else \
+        returns.join(products.select("stock_code"), "stock_code", "left_semi")
     fixed = reassign_orphans(known.withColumn("quantity", F.abs("quantity")), customers)
     return fixed.select(
         "invoice_no", "customer_id", "stock_code", "country", "quantity", "unit_price",
@@ -122,12 +127,19 @@ def fact_returns(returns: DataFrame, products: DataFrame, customers: DataFrame)
 
 
 def build(sales: DataFrame, returns: DataFrame) -> Retail:
-    """All five tables; the invoice table carries ``line_no``-free items."""
+    """All five tables.
+
+    The loader's membership filters are satisfied by construction here, so they
+    are not re-run as joins over the facts: every sales invoice is in the invoice
+    table (it is built from those lines) and every returned code is in the product
+    table (built from sales ∪ returns codes).  ``dq_fk_orphans`` checks both.
+    Customer reassignment stays a lookup: ids of 0 are not registered.
+    """
     customers = dim_customers(sales, returns)
     products = dim_products(sales, returns)
     invoices = dim_invoices(sales)
-    return Retail(invoices=invoices, items=fact_items(sales, invoices),
-                  returns=fact_returns(returns, products, customers),
+    return Retail(invoices=invoices, items=fact_items(sales),
+                  returns=fact_returns(returns, None, customers),
                   products=products, customers=customers)
 
 
