@@ -105,3 +105,15 @@ def test_rank_ntile_property(spark, values, parts):
     mine = with_ntile(mine, [("v", True), ("id", True)], 3, "t", partitions=parts)
     cols = ["id", "rk", F.col("cum").cast("long"), "t"]
     _same(mine.select(*cols), ref.select(*cols))
+
+
+def test_row_numbers_alone_do_not_shuffle_again(spark, lines):
+    """Without running sums the numbering reads the checkpoint in place."""
+    order = [("q", False), ("l_orderkey", True), ("l_linenumber", True)]
+    plan = with_row_numbers(lines, order, "rn")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__pid" not in plan.split("Subquery")[0].split("+- BroadcastExchange")[0]
+    ref = lines.withColumn("rn", F.row_number().over(
+        Window.orderBy(F.col("q").desc(), "l_orderkey", "l_linenumber")).cast("long"))
+    mine = with_row_numbers(lines, order, "rn", partitions=9)
+    _same(mine.select("l_orderkey", "l_linenumber", "rn"),
+          ref.select("l_orderkey", "l_linenumber", "rn"))

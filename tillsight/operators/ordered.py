@@ -11,8 +11,9 @@ operators here compute the same values with the work spread over partitions:
    fixed for the two passes that follow;
 2. count / sum per partition → a summary with one row per partition (bounded by
    the partition count, not by the data) → exclusive prefix → broadcast offsets;
-3. a window *partitioned by the partition id* gives in-partition positions and
-   running sums, and the offsets make them global.
+3. in-partition positions come from a sort inside each partition (no shuffle);
+   running sums need a window *partitioned by the partition id*; the offsets make
+   both global.
 
 Ties: :func:`with_row_numbers` needs a total order (callers append a unique
 tiebreak).  :func:`with_rank` and RANGE-frame running sums (peers share a value)
@@ -81,6 +82,19 @@ def with_row_numbers(df: DataFrame, order: Order, row_number: str = "row_number"
         F.sum(_CNT).over(everything).alias(_TOT),
         *[F.sum(sum_cols[out]).over(before).alias(sum_cols[out]) for out in running_sums])
 
+    if not running_sums:
+        # Row numbers only: each physical partition of the checkpoint is one range
+        # partition, so a sort inside the partition plus the record index (the low
+        # 33 bits of monotonically_increasing_id) gives the position — no shuffle.
+        local = ranged.sortWithinPartitions(*_sort_exprs(order)).withColumn(
+            "__pos", F.monotonically_increasing_id()
+            - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+        out = local.join(F.broadcast(offsets), _PID) \
+            .withColumn(row_number, F.col(_OFF) + F.col("__pos") + 1).drop("__pos")
+        if total_count:
+            out = out.withColumn(total_count, F.col(_TOT))
+        return out.drop(_PID, _OFF, _TOT)
+
     joined = ranged.join(F.broadcast(offsets), _PID)
     within = Window.partitionBy(_PID).orderBy(*_sort_exprs(order))
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
