@@ -40,3 +40,28 @@ def test_filter_is_pushed_to_the_scan(spark):
     plan = dashboard.kpi_cards(r)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "n_name" in line]
     assert scans and all("EqualTo(n_name,NATION_3)" in line for line in scans)
+
+
+def test_year_filter_prunes_stored_partitions(spark):
+    from tillsight import warehouse
+    r = warehouse.synthetic(spark, "/root/testdata/sf0.01").filtered(years=[1999])
+    plan = dashboard.kpi_cards(r)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    totals = [line for line in scans if "units:bigint" in line]
+    assert totals and all("PartitionFilters: [isnotnull(year" in line and "= 1999" in line
+                          for line in totals)
+    returns = [line for line in scans if "ReadSchema: struct<quantity:int,invoice_date" in line]
+    assert returns and all("GreaterThanOrEqual(invoice_date,1999-01-01" in line
+                           for line in returns)
+
+
+def test_views_answer_sql(spark):
+    from tillsight import warehouse
+    from tillsight.plans import views
+    r = warehouse.synthetic(spark, "/root/testdata/sf0.01")
+    views.register_views(r)
+    via_sql = spark.sql("SELECT customer_id FROM vw_customer_rfm WHERE segment = 'At risk'")
+    direct = views.rfm_at_risk(r).select("customer_id")
+    assert via_sql.exceptAll(direct).count() == 0 and direct.exceptAll(via_sql).count() == 0
+    top = spark.sql("SELECT COUNT(*) AS n FROM vw_top_products WHERE cumulative_pct <= 80")
+    assert top.collect()[0].n == views.pareto_count(r).collect()[0].products_in_pareto

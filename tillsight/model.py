@@ -76,7 +76,7 @@ class Retail:
         if years is not None:
             keep_year = F.col("year").isin(list(years))
             inv = inv.filter(keep_year)
-            ret = ret.filter(F.year("invoice_date").isin(list(years)))
+            ret = ret.filter(_in_years(F.col("invoice_date"), years))
             tot = tot.filter(keep_year) if tot is not None else None
             lin = lin.filter(keep_year) if lin is not None else None
         if countries:
@@ -86,3 +86,14 @@ class Retail:
             tot = tot.filter(keep_country) if tot is not None else None
             lin = lin.filter(keep_country) if lin is not None else None
         return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin)
+
+
+def _in_years(ts: F.Column, years) -> F.Column:
+    """``year(ts) IN years`` written as timestamp ranges, so Parquet row-group
+    statistics can skip data (a function of the column cannot be pushed down)."""
+    cond = F.lit(False)
+    for y in sorted(set(int(y) for y in years)):
+        lo = F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz")
+        hi = F.lit(f"{y + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+        cond = cond | ((ts >= lo) & (ts < hi))
+    return cond
