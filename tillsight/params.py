@@ -37,6 +37,10 @@ GUEST_ID = -1
 # Order priority that marks a guest order in the synthetic test tables.
 GUEST_PRIORITY = "4-NOT SPECIFIED"
 
+# Default country selection of the dashboard on the synthetic tables (the dashboard
+# starts with five markets selected and all years).
+DASHBOARD_COUNTRIES = [f"NATION_{i}" for i in range(5)]
+
 # Home market of the synthetic tables (first nation by name) and RFM reference date.
 HOME_COUNTRY = "NATION_0"
 RFM_REFERENCE_DATE = "2001-08-01 00:00:00"

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight import warehouse
 from tillsight.model import Retail
-from tillsight.oracle import DASHBOARD_COUNTRIES
+from tillsight.params import DASHBOARD_COUNTRIES
 from tillsight.plans import dashboard, eda, views
-from tillsight import warehouse
 from tillsight.sources import synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
