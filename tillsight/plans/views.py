@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight import params as P
-from tillsight.functions.labels import period_label
+from tillsight.functions.labels import customer_label, period_label
 from tillsight.functions.numeric import as_double, ddiv, dround, pct
 from tillsight.model import Retail
 from tillsight.operators.ordered import top_k_with_ties, with_ntile, with_rank
@@ -158,7 +158,8 @@ def top10_customers_rfm(r: Retail, k: int = 10) -> DataFrame:
     """Top customers by monetary value (``ORDER BY monetary DESC LIMIT k``)."""
     return (rfm_segments(r)
             .select("customer_id", "country", F.col("monetary").alias("total_revenue"),
-                    F.col("frequency").alias("total_invoices"))
+                    F.col("frequency").alias("total_invoices"),
+                    customer_label("customer_id", "country").alias("label"))
             .orderBy(F.col("total_revenue").desc(), F.col("customer_id"))
             .limit(k))
 
