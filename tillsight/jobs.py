@@ -33,8 +33,8 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> Retail:
     sales, returns = cleaning.clean(raw)
     write_table(sales, f"{out}/clean_sales", ["year", "month"])
     write_table(returns, f"{out}/clean_returns")
-    write_csv(sales, f"{out}/csv/online_retail_clean")
-    write_csv(returns, f"{out}/csv/online_retail_returns")
+    write_csv(sales, f"{out}/csv/clean_sales")
+    write_csv(returns, f"{out}/csv/clean_returns")
     sales = spark.read.parquet(f"{out}/clean_sales")
     returns = spark.read.parquet(f"{out}/clean_returns")
     r = star.build(sales, returns)
