@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.model import Retail
@@ -42,6 +43,10 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> Retail:
                             ("invoices", r.invoices, ["year"]),
                             ("invoice_items", r.items, None), ("returns", r.returns, None)):
         write_table(df, f"{out}/{name}", parts)
+    base = read_star(spark, out)
+    # derived shapes every mart reads: the flat line table and the invoice summary
+    write_table(base.sales(), f"{out}/lines", ["year", "month"])
+    write_table(base.invoice_totals(), f"{out}/totals", ["year"])
     stored = read_star(spark, out)
     write_table(cleaning.cleaning_report(raw, sales, returns), f"{out}/_reports/cleaning")
     write_table(star.row_counts(stored), f"{out}/_reports/row_counts")
@@ -51,12 +56,19 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> Retail:
 def read_star(spark: SparkSession, out: str) -> Retail:
     def t(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
-    inv = t("invoices")
+    def optional(name: str, cols: list[str]) -> DataFrame | None:
+        try:
+            return t(name).select(*cols)
+        except AnalysisException:
+            return None
+    header = ["invoice_no", "customer_id", "country", "invoice_date", "year", "month",
+              "is_guest"]
+    items = t("invoice_items")
     return Retail(
-        invoices=inv.select("invoice_no", "customer_id", "country", "invoice_date", "year",
-                            "month", "is_guest"),
-        items=t("invoice_items"), returns=t("returns"), products=t("products"),
-        customers=t("customers"))
+        invoices=t("invoices").select(*header), items=items, returns=t("returns"),
+        products=t("products"), customers=t("customers"),
+        totals=optional("totals", header + ["revenue", "units", "n_lines"]),
+        lines=optional("lines", items.columns + [c for c in header if c != "invoice_no"]))
 
 
 def marts(r: Retail, years=None, countries=None) -> dict[str, DataFrame]:

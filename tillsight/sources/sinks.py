@@ -20,9 +20,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """Parquet write; ``mode='overwrite'`` makes a reload idempotent, ``append``
     adds a batch.  Facts are partitioned by ``year, month`` so date filters prune."""
-    w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # AQE keeps each partition value together but splits a hot one into files
+        w = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    else:
+        w = df.write.mode(mode)
     w.parquet(path)
 
 
