@@ -44,12 +44,6 @@ def _sort_exprs(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def with_row_numbers(df: DataFrame, order: Order, row_number: str = "row_number",
                      running_sums: dict[str, str] | None = None,
                      total_count: str | None = None,
@@ -63,9 +57,13 @@ def with_row_numbers(df: DataFrame, order: Order, row_number: str = "row_number"
     running_sums = running_sums or {}
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = _partitions(df, partitions)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalesced range partitions are still contiguous ranges); the partition id
+    # is read after the exchange, so it always names the physical partition.
+    by_range = (df.repartitionByRange(partitions, *_sort_exprs(order)) if partitions
+                else df.repartitionByRange(*_sort_exprs(order)))
 
-    ranged = (df.repartitionByRange(n, *_sort_exprs(order))
+    ranged = (by_range
               .withColumn(_PID, F.spark_partition_id())
               .checkpoint(eager=True))
 
