@@ -240,10 +240,14 @@ def pareto_80(r: Retail, threshold: float = P.PARETO_PCT) -> DataFrame:
 
 
 def pareto_count(r: Retail, threshold: float = P.PARETO_PCT) -> DataFrame:
-    """How many products make up ``threshold`` % of revenue, out of how many."""
+    """How many products make up ``threshold`` % of revenue, out of how many, and
+    the highest revenue rank inside the threshold."""
+    inside = F.col("cumulative_pct") <= threshold
     return product_ranking(r).agg(
-        F.count_if(F.col("cumulative_pct") <= threshold).alias("products_in_pareto"),
-        F.count(F.lit(1)).alias("total_products"))
+        F.count_if(inside).alias("products_in_pareto"),
+        F.count(F.lit(1)).alias("total_products"),
+        # the chart's cut line: highest rank still inside (NULL if none)
+        F.max(F.when(inside, F.col("revenue_rank"))).alias("cutoff_rank"))
 
 
 def pareto_curve_85(r: Retail, threshold: float = P.PARETO_PLOT_PCT) -> DataFrame:
