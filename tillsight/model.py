@@ -24,6 +24,10 @@ Two derived shapes are shared by many marts:
   over the line join becomes a plain ``count`` here.
 * :meth:`Retail.sales` – the flat line table of the dashboard (line + header
   attributes), filtered by year / country below the join.
+
+Both can be stored (``totals``, ``lines``; see :mod:`tillsight.warehouse`), in
+which case marts scan them instead of re-running the joins, and
+:meth:`Retail.filtered` prunes their year partitions.
 """
 
 from __future__ import annotations
