@@ -65,3 +65,16 @@ def test_views_answer_sql(spark):
     assert via_sql.exceptAll(direct).count() == 0 and direct.exceptAll(via_sql).count() == 0
     top = spark.sql("SELECT COUNT(*) AS n FROM vw_top_products WHERE cumulative_pct <= 80")
     assert top.collect()[0].n == views.pareto_count(r).collect()[0].products_in_pareto
+
+
+def test_jdbc_options():
+    import pytest
+    from tillsight.sources.jdbc import jdbc_read_options, jdbc_write_options
+    o = jdbc_read_options("jdbc:postgresql://db/retail", "invoice_items",
+                          partition_column="item_id", lower=1, upper=1_000_000,
+                          num_partitions=32)
+    assert o["partitionColumn"] == "item_id" and o["numPartitions"] == "32"
+    assert o["lowerBound"] == "1" and o["upperBound"] == "1000000"
+    with pytest.raises(ValueError):
+        jdbc_read_options("jdbc:x", "t", partition_column="id")
+    assert jdbc_write_options("jdbc:x", "t", 1000)["batchsize"] == "1000"
