@@ -45,7 +45,9 @@ _BUILT: dict[tuple[str, str, str], object] = {}
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     cols = df.columns
-    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    # partitioned tables: cluster each partition value (few files per month, a hot
+    # month split by AQE); unpartitioned ones are written as they stream, no shuffle
+    out = df.hint("rebalance", *partition_by) if partition_by else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
