@@ -78,3 +78,15 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x", "t", partition_column="id")
     assert jdbc_write_options("jdbc:x", "t", 1000)["batchsize"] == "1000"
+
+
+def test_stored_and_lazy_paths_agree_under_filters(spark):
+    from tillsight import warehouse
+    folder = "/root/testdata/sf0.01"
+    years, countries = [1996, 2000], ["NATION_4", "NATION_9"]
+    stored = warehouse.synthetic(spark, folder).filtered(years, countries)
+    lazy = synthetic.load(spark, folder).filtered(years, countries)
+    assert dashboard.kpi_cards(stored).collect() == dashboard.kpi_cards(lazy).collect()
+    a = dashboard.top10_products(stored).collect()
+    b = dashboard.top10_products(lazy).collect()
+    assert a == b
