@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 from tillsight import params as P
 from tillsight.functions.numeric import MONEY, PRICE
 from tillsight.model import Retail
-from tillsight.operators.cleaning import modal_value
 
 
 def _customer_key(col: F.Column) -> F.Column:
@@ -41,15 +40,16 @@ def dim_customers(sales: DataFrame, returns: DataFrame) -> DataFrame:
         _customer_key(F.col("customer_id")).alias("customer_id"), "country",
         F.lit(1).alias("src"), "invoice_date", "invoice_no", "stock_code")
     order = F.struct("src", "invoice_date", "invoice_no", "stock_code")
-    registered = from_sales.unionByName(from_returns).groupBy("customer_id").agg(
-        F.min_by("country", order).alias("country"))
-    dates = from_sales.groupBy("customer_id").agg(
-        F.min("invoice_date").alias("first_purchase"),
-        F.max("invoice_date").alias("last_purchase"))
-    customers = registered.join(dates, "customer_id", "left").select(
+    sale_date = F.when(F.col("src") == 0, F.col("invoice_date"))
+    # one aggregation (one shuffle) gives the keep-first country and the purchase
+    # dates, which come from the sales side only
+    customers = from_sales.unionByName(from_returns).groupBy("customer_id").agg(
+        F.min_by("country", order).alias("country"),
+        F.min(sale_date).alias("first_purchase"),
+        F.max(sale_date).alias("last_purchase"))
+    return customers.select(
         "customer_id", "country", F.lit(False).alias("is_guest"),
-        "first_purchase", "last_purchase")
-    return customers.unionByName(guest_member(spark))
+        "first_purchase", "last_purchase").unionByName(guest_member(spark))
 
 
 def guest_member(spark: SparkSession) -> DataFrame:
@@ -65,12 +65,15 @@ def guest_member(spark: SparkSession) -> DataFrame:
 
 
 def dim_products(sales: DataFrame, returns: DataFrame) -> DataFrame:
-    prices = sales.select("stock_code", "unit_price").unionByName(
-        returns.select("stock_code", "unit_price"))
-    median = prices.groupBy("stock_code").agg(
-        F.median(F.col("unit_price").cast("double")).alias("median_price"))
-    desc = modal_value(sales, "stock_code", "description")
-    return median.join(desc, "stock_code", "left").select(
+    # one aggregation over sales ∪ returns: the median takes every line's price,
+    # the mode only sales descriptions (return lines carry NULL, which mode skips)
+    lines = sales.select("stock_code", "unit_price", "description").unionByName(
+        returns.select("stock_code", "unit_price",
+                       F.lit(None).cast("string").alias("description")))
+    per_code = lines.groupBy("stock_code").agg(
+        F.median(F.col("unit_price").cast("double")).alias("median_price"),
+        F.mode("description", deterministic=True).alias("description"))
+    return per_code.select(
         "stock_code", "description",
         F.round(F.col("median_price").cast("decimal(38,9)"), 2).cast(PRICE).alias("unit_price"))
 
