@@ -18,15 +18,15 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int,
     """
     v = F.col(value).cast("double")
     bounds = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    width = hi - lo
+    # the bounds subquery is bound once per side as a column
+    rows = df.filter(F.col(value).isNotNull()).withColumn("__b", bounds)
+    lo, width = F.col("__b.lo"), F.col("__b.hi") - F.col("__b.lo")
     raw = F.floor((v - lo) * F.lit(float(bins)) / F.nullif(width, F.lit(0.0)))
     b = F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("int")
-    counts = df.filter(F.col(value).isNotNull()).groupBy(b.alias("bin")) \
-        .agg(F.count(F.lit(1)).alias(count_name))
+    counts = rows.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(count_name))
     # the bin list is bounded by ``bins`` and only exists when the input is non-empty
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")) \
-        .filter(lo.isNotNull())
+        .withColumn("__b", bounds).filter(F.col("__b.lo").isNotNull())
     return all_bins.join(counts, "bin", "left").select(
         "bin",
         (lo + width * F.col("bin") / F.lit(float(bins))).alias("bin_start"),

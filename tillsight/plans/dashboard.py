@@ -41,12 +41,12 @@ def kpi_cards(r: Retail) -> DataFrame:
         F.count_distinct(F.when(~F.col("is_guest"), F.col("customer_id")))
         .alias("total_customers"),
         F.coalesce(F.sum("units"), F.lit(0)).cast("long").alias("units_sold"))
-    returned = _units_returned(r)
-    return sold.select(
+    # the returned units are a scalar subquery, bound once as a column
+    return sold.withColumn("units_returned", _units_returned(r)).select(
         as_double("rev").alias("total_revenue"), "total_orders", "total_customers",
         ddiv("rev", "total_orders").alias("avg_order_value"),
-        "units_sold", returned.alias("units_returned"),
-        _return_rate(F.col("units_sold"), returned).alias("return_rate_pct"))
+        "units_sold", "units_returned",
+        _return_rate(F.col("units_sold"), F.col("units_returned")).alias("return_rate_pct"))
 
 
 # -- tab 1: revenue trends -----------------------------------------------------------
@@ -193,9 +193,9 @@ def returns_kpis(r: Retail) -> DataFrame:
         F.count(F.lit(1)).alias("total_returns"),
         F.sum(F.abs("quantity") * F.col("unit_price")).alias("lost"),
         F.coalesce(F.sum(F.abs("quantity")), F.lit(0)).cast("long").alias("units_returned"))
-    return agg.filter(F.col("total_returns") > 0).select(
+    return agg.filter(F.col("total_returns") > 0).withColumn("__sold", sold).select(
         "total_returns", as_double("lost").alias("revenue_lost"), "units_returned",
-        _return_rate(sold, F.col("units_returned")).alias("return_rate_pct"))
+        _return_rate(F.col("__sold"), F.col("units_returned")).alias("return_rate_pct"))
 
 
 def returns_by_country(r: Retail, k: int = 10) -> DataFrame:
