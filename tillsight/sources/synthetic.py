@@ -94,20 +94,31 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_base(spark: SparkSession, folder: str) -> DataFrame:
+    """Registered customers with their country, plus the guest member (no dates)."""
+    from tillsight.plans.star import guest_member
+    registered = _customer_country(spark, folder).select(
+        F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country"),
+        F.lit(False).alias("is_guest"))
+    return registered.unionByName(guest_member(spark).select(*registered.columns))
+
+
+def add_purchase_dates(base: DataFrame, invoices_with_sales: DataFrame) -> DataFrame:
+    """First / last purchase of each customer over invoices that have sale lines
+    (guest invoices excluded; the guest member keeps NULL dates)."""
+    dates = invoices_with_sales.filter(~F.col("is_guest")).groupBy("customer_id").agg(
+        F.min("invoice_date").alias("first_purchase"),
+        F.max("invoice_date").alias("last_purchase"))
+    return base.join(dates, "customer_id", "left").select(
+        "customer_id", "country", "is_guest", "first_purchase", "last_purchase")
+
+
 def customers(spark: SparkSession, folder: str, inv: DataFrame | None = None,
               itm: DataFrame | None = None) -> DataFrame:
     inv = inv if inv is not None else invoices(spark, folder)
     itm = itm if itm is not None else items(spark, folder)
-    with_sales = inv.filter(~F.col("is_guest")).join(
-        itm.select("invoice_no"), "invoice_no", "left_semi")
-    dates = with_sales.groupBy("customer_id").agg(
-        F.min("invoice_date").alias("first_purchase"),
-        F.max("invoice_date").alias("last_purchase"))
-    registered = _customer_country(spark, folder).select(
-        F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country"),
-        F.lit(False).alias("is_guest"))
-    from tillsight.plans.star import guest_member
-    return registered.join(dates, "customer_id", "left").unionByName(guest_member(spark))
+    with_sales = inv.join(itm.select("invoice_no"), "invoice_no", "left_semi")
+    return add_purchase_dates(customer_base(spark, folder), with_sales)
 
 
 def load(spark: SparkSession, folder: str) -> Retail:

@@ -56,10 +56,17 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> D
     return spark.read.parquet(path).select(*cols)
 
 
-def materialize(r: Retail, name: str = "warehouse") -> Retail:
+def materialize(r: Retail, name: str = "warehouse",
+                customers_from_totals=None) -> Retail:
     """Store ``r``.  The line ⋈ header join runs once: the line table is written
     from the stored headers, and the invoice summary and the line fact are then
-    derived from the stored lines (no second pass over the raw join)."""
+    derived from the stored lines (no second pass over the raw join).
+
+    ``customers_from_totals``: optional ``totals -> customers`` function; when
+    given, the customer table is derived from the stored invoice summary (its
+    purchase dates need the invoices that have sale lines, which the summary
+    already holds) instead of from ``r.customers``.
+    """
     spark = r.items.sparkSession
     base = scratch_path(spark, name)
     totals_cols = r.invoice_totals().columns
@@ -75,23 +82,32 @@ def materialize(r: Retail, name: str = "warehouse") -> Retail:
         per_invoice = per_invoice.withColumn(
             "customer_id", F.when(F.col("is_guest"), F.lit(GUEST_ID).cast("long"))
             .otherwise(F.col("customer_id")))
+        def totals_then_customers() -> dict[str, DataFrame]:
+            totals = _write(per_invoice.select(*totals_cols), f"{base}/totals", ["year"])
+            out = {"totals": totals}
+            if customers_from_totals is not None:
+                out["customers"] = _write(customers_from_totals(totals), f"{base}/customers")
+            return out
+
         rest = _parallel({
-            "totals": lambda: _write(per_invoice.select(*totals_cols), f"{base}/totals",
-                                     ["year"]),
+            "totals": totals_then_customers,
             "items": lambda: _write(lines.select(*r.items.columns), f"{base}/items"),
         })
-        return {"invoices": invoices, "lines": lines, **rest}
+        return {"invoices": invoices, "lines": lines, **rest.pop("totals"), **rest}
 
     # independent tables are written by concurrent jobs
-    out = _parallel({
+    jobs = {
         "facts": fact_chain,
         "returns": lambda: _write(r.returns, f"{base}/returns"),
         "products": lambda: _write(r.products, f"{base}/products"),
-        "customers": lambda: _write(r.customers, f"{base}/customers"),
-    })
+    }
+    if customers_from_totals is None:
+        jobs["customers"] = lambda: _write(r.customers, f"{base}/customers")
+    out = _parallel(jobs)
     facts = out.pop("facts")
+    customers = facts["customers"] if customers_from_totals is not None else out["customers"]
     return Retail(invoices=facts["invoices"], items=facts["items"], returns=out["returns"],
-                  products=out["products"], customers=out["customers"],
+                  products=out["products"], customers=customers,
                   totals=facts["totals"], lines=facts["lines"])
 
 
@@ -113,8 +129,10 @@ def _cached(spark: SparkSession, kind: str, folder: str, build):
 def synthetic(spark: SparkSession, folder: str) -> Retail:
     """The canonical model of the test tables, stored once per session."""
     from tillsight.sources import synthetic as syn
-    return _cached(spark, "canonical", folder,
-                   lambda: materialize(syn.load(spark, folder), "canonical"))
+    base = syn.customer_base(spark, folder)
+    return _cached(spark, "canonical", folder, lambda: materialize(
+        syn.load(spark, folder), "canonical",
+        customers_from_totals=lambda totals: syn.add_purchase_dates(base, totals)))
 
 
 def cleaned(spark: SparkSession, folder: str):
