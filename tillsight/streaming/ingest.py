@@ -16,8 +16,9 @@ files, the same rules run per micro-batch:
 Description imputation is the one rule that looks beyond a line: in the stream
 a missing description takes the most frequent description of its stock code
 among the lines cleaned so far plus the current batch (the batch job uses the
-whole export).  Only the stock codes that lack a description in the batch are
-read back, so the lookup stays proportional to the batch.
+whole export).  Each batch stores its (code, description) counts next to the
+sales (``<sales>_description_counts/batch_id=<n>``); imputation sums those
+counts for the codes that need one, so it never re-reads past lines.
 """
 
 from __future__ import annotations
@@ -46,21 +47,27 @@ def read_raw_stream(spark: SparkSession, landing: str, max_files: int = 100) ->
         .withColumnsRenamed(RAW_COLUMNS)
 
 
+def _counts_path(sales_path: str) -> str:
+    return f"{sales_path.rstrip('/')}_description_counts"
+
+
 def _clean_batch(batch: DataFrame, batch_id: int, sales_path: str, returns_path: str) -> None:
     spark = batch.sparkSession
     sales, returns = cleaning.split_sales_returns(batch)
     sales = cleaning.filter_valid_lines(cleaning.filter_product_codes(sales))
+    # (code, description) counts of this batch: the state the imputation reads,
+    # one row per pair instead of every line seen so far
+    counts = sales.filter(F.col("description").isNotNull()) \
+        .groupBy("stock_code", "description").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.mode("overwrite").parquet(f"{_counts_path(sales_path)}/batch_id={batch_id}")
     missing_codes = sales.filter(F.col("description").isNull()).select("stock_code").distinct()
-    try:
-        seen = spark.read.parquet(sales_path).filter(F.col("batch_id") != batch_id) \
-            .select("stock_code", "description") \
-            .join(missing_codes, "stock_code", "left_semi")
-    except Exception:  # noqa: BLE001 - first batch: nothing stored yet
-        seen = None
-    donors = sales.select("stock_code", "description")
-    if seen is not None:
-        donors = donors.unionByName(seen)
-    desc_map = cleaning.modal_value(donors, "stock_code", "description", "__modal")
+    all_counts = spark.read.parquet(_counts_path(sales_path)) \
+        .filter(F.col("batch_id") <= batch_id) \
+        .join(missing_codes, "stock_code", "left_semi") \
+        .groupBy("stock_code", "description").agg(F.sum("n").alias("n"))
+    # most frequent description, ties to the smallest text
+    desc_map = all_counts.groupBy("stock_code").agg(
+        F.min_by("description", F.struct(-F.col("n"), F.col("description"))).alias("__modal"))
     filled = sales.filter(F.col("description").isNull()).join(desc_map, "stock_code", "left") \
         .withColumn("description", F.col("__modal")).drop("__modal")
     sales = sales.filter(F.col("description").isNotNull()).unionByName(filled.select(*sales.columns))
