@@ -8,14 +8,18 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "tillsight", driver_memory: str = "16g") -> SparkSession:
+                  app: str = "tillsight", driver_memory: str = "16g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be.
 
     AQE stays on (partition coalescing, skew-join splitting, runtime broadcast
     decisions); the web UI stays off.
     """
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")

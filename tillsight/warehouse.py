@@ -31,6 +31,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,9 +113,22 @@ def materialize(r: Retail, name: str = "warehouse",
 
 
 def _parallel(jobs: dict) -> dict:
-    """Run independent builds as concurrent Spark jobs (one driver thread each)."""
+    """Run independent builds as concurrent Spark jobs (one driver thread each).
+
+    The caller's job description (a thread-local Spark property) is carried into
+    the worker threads, so their jobs stay attributed in logs."""
+    sc = SparkContext._active_spark_context
+    desc = sc.getLocalProperty("spark.job.description") if sc is not None else None
+
+    def tagged(fn):
+        def run():
+            if desc is not None:
+                sc.setJobDescription(desc)
+            return fn()
+        return run
+
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        futures = {name: pool.submit(tagged(fn)) for name, fn in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
