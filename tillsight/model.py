@@ -48,6 +48,8 @@ class Retail:
     # optional stored forms of the two derived shapes (see tillsight.warehouse)
     totals: DataFrame | None = None
     lines: DataFrame | None = None
+    # optional stored RFM scores (default reference date; see tillsight.warehouse)
+    rfm: DataFrame | None = None
 
     def invoice_totals(self) -> DataFrame:
         if self.totals is not None:
@@ -89,7 +91,8 @@ class Retail:
             ret = ret.filter(keep_country)
             tot = tot.filter(keep_country) if tot is not None else None
             lin = lin.filter(keep_country) if lin is not None else None
-        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin)
+        # stored RFM scores describe the unfiltered tables: drop them
+        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin, rfm=None)
 
 
 def _in_years(ts: F.Column, years) -> F.Column:

@@ -112,6 +112,8 @@ def segment_of(r: F.Column, f: F.Column, m: F.Column) -> F.Column:
 
 def rfm_scored(r: Retail, reference_date: str = P.RFM_REFERENCE_DATE) -> DataFrame:
     """RFM with ``monetary_dec`` kept as a decimal for exact downstream sums."""
+    if r.rfm is not None and reference_date == P.RFM_REFERENCE_DATE:
+        return r.rfm
     base = rfm_base(r, reference_date)
     # ties inside one metric are broken by customer_id, so the scores are deterministic
     scored = with_ntile(base, [("recency_days", False), ("customer_id", True)], 5, "r_score")

@@ -176,3 +176,16 @@ def cleaned(spark: SparkSession, folder: str):
         return Cleaned(c.raw, flat["sales"], flat["returns"], Retail(**t))
 
     return _cached(spark, "etl", folder, build)
+
+
+def synthetic_with_rfm(spark: SparkSession, folder: str) -> Retail:
+    """The stored canonical model plus the RFM view stored once per session: five
+    marts read the scores, and scoring runs three distributed orderings."""
+    from tillsight.plans.views import rfm_scored
+    r = synthetic(spark, folder)
+
+    def build() -> Retail:
+        scored = rfm_scored(r)
+        return replace(r, rfm=_write(scored, f"{scratch_path(spark, 'rfm')}/scores"))
+
+    return _cached(spark, "rfm", folder, build)
