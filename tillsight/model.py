@@ -48,8 +48,10 @@ class Retail:
     # optional stored forms of the two derived shapes (see tillsight.warehouse)
     totals: DataFrame | None = None
     lines: DataFrame | None = None
-    # optional stored RFM scores (default reference date; see tillsight.warehouse)
+    # optional stored views read by several marts (see tillsight.warehouse): RFM
+    # scores at the default reference date, and the product ranking
     rfm: DataFrame | None = None
+    ranking: DataFrame | None = None
 
     def invoice_totals(self) -> DataFrame:
         if self.totals is not None:
@@ -91,8 +93,9 @@ class Retail:
             ret = ret.filter(keep_country)
             tot = tot.filter(keep_country) if tot is not None else None
             lin = lin.filter(keep_country) if lin is not None else None
-        # stored RFM scores describe the unfiltered tables: drop them
-        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin, rfm=None)
+        # stored views describe the unfiltered tables: drop them
+        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin, rfm=None,
+                       ranking=None)
 
 
 def _in_years(ts: F.Column, years) -> F.Column:

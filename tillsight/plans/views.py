@@ -218,6 +218,8 @@ def intl_top10(r: Retail, home: str = P.HOME_COUNTRY, k: int = 10) -> DataFrame:
 
 def product_ranking(r: Retail) -> DataFrame:
     """Every sold product: units, orders, revenue, share, cumulative share, rank."""
+    if r.ranking is not None:
+        return r.ranking
     per_code = r.items.groupBy("stock_code").agg(
         F.sum("quantity").alias("units_sold"),
         F.count_distinct("invoice_no").alias("times_ordered"),

@@ -34,21 +34,33 @@ def _mart(fn: Callable[[Retail], DataFrame]) -> Query:
     return run
 
 
-def _rfm_mart(fn: Callable[[Retail], DataFrame]) -> Query:
-    """Marts over the RFM view, which is stored once per session."""
+def _view_mart(fn: Callable[[Retail], DataFrame], load) -> Query:
+    """Marts over a view that is stored once per session (``load`` adds it)."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return output_edge(fn(warehouse.synthetic_with_rfm(spark, folder)))
+        return output_edge(fn(load(spark, folder)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
+def _rfm_mart(fn: Callable[[Retail], DataFrame]) -> Query:
+    return _view_mart(fn, warehouse.synthetic_with_rfm)
+
+
+def _ranking_mart(fn: Callable[[Retail], DataFrame]) -> Query:
+    return _view_mart(fn, warehouse.synthetic_with_ranking)
+
+
 QUERIES: dict[str, Query] = {
     name: _mart(getattr(views, name)) for name in (
         "monthly_growth", "monthly_revenue", "top_customers",
         "topn_customer_share", "country_revenue", "country_ranking", "intl_top10",
-        "product_ranking", "pareto_80", "pareto_count", "pareto_curve_85", "return_rate")
+        "return_rate")
 }
+QUERIES.update({
+    name: _ranking_mart(getattr(views, name)) for name in (
+        "product_ranking", "pareto_80", "pareto_count", "pareto_curve_85")
+})
 QUERIES.update({
     name: _rfm_mart(getattr(views, name)) for name in (
         "rfm_segments", "rfm_at_risk", "rfm_segment_summary", "rfm_segment_share",

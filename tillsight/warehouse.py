@@ -178,14 +178,23 @@ def cleaned(spark: SparkSession, folder: str):
     return _cached(spark, "etl", folder, build)
 
 
+def _stored_view(spark: SparkSession, folder: str, name: str, compute) -> DataFrame:
+    r = synthetic(spark, folder)
+    return _cached(spark, name, folder,
+                   lambda: _write(compute(r), f"{scratch_path(spark, name)}/view"))
+
+
 def synthetic_with_rfm(spark: SparkSession, folder: str) -> Retail:
     """The stored canonical model plus the RFM view stored once per session: five
     marts read the scores, and scoring runs three distributed orderings."""
     from tillsight.plans.views import rfm_scored
-    r = synthetic(spark, folder)
+    return replace(synthetic(spark, folder),
+                   rfm=_stored_view(spark, folder, "rfm", rfm_scored))
 
-    def build() -> Retail:
-        scored = rfm_scored(r)
-        return replace(r, rfm=_write(scored, f"{scratch_path(spark, 'rfm')}/scores"))
 
-    return _cached(spark, "rfm", folder, build)
+def synthetic_with_ranking(spark: SparkSession, folder: str) -> Retail:
+    """The stored canonical model plus the product ranking view stored once per
+    session: four marts read it, and it runs a distributed rank and running sum."""
+    from tillsight.plans.views import product_ranking
+    return replace(synthetic(spark, folder),
+                   ranking=_stored_view(spark, folder, "ranking", product_ranking))
