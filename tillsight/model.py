@@ -52,6 +52,8 @@ class Retail:
     # scores at the default reference date, and the product ranking
     rfm: DataFrame | None = None
     ranking: DataFrame | None = None
+    # optional stored churn holdout scores (default parameters)
+    churn: DataFrame | None = None
 
     def invoice_totals(self) -> DataFrame:
         if self.totals is not None:
@@ -95,7 +97,7 @@ class Retail:
             lin = lin.filter(keep_country) if lin is not None else None
         # stored views describe the unfiltered tables: drop them
         return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin, rfm=None,
-                       ranking=None)
+                       ranking=None, churn=None)
 
 
 def _in_years(ts: F.Column, years) -> F.Column:

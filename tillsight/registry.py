@@ -95,8 +95,9 @@ def _register_churn() -> None:
     from tillsight.plans import churn
     QUERIES.update({
         "churn_features": _mart(churn.churn_features),
-        "churn_eval": _mart(churn.churn_eval),
-        "churn_cost_benefit": _mart(churn.churn_cost_benefit),
+        "churn_eval": _view_mart(churn.churn_eval, warehouse.synthetic_with_churn),
+        "churn_cost_benefit": _view_mart(churn.churn_cost_benefit,
+                                         warehouse.synthetic_with_churn),
     })
 
 

@@ -198,3 +198,12 @@ def synthetic_with_ranking(spark: SparkSession, folder: str) -> Retail:
     from tillsight.plans.views import product_ranking
     return replace(synthetic(spark, folder),
                    ranking=_stored_view(spark, folder, "ranking", product_ranking))
+
+
+def synthetic_with_churn(spark: SparkSession, folder: str) -> Retail:
+    """The stored canonical model plus the churn model's holdout scores, stored
+    once per session, so the evaluation and the cost-benefit sweep read the same
+    fitted model."""
+    from tillsight.plans.churn import churn_scores
+    return replace(synthetic(spark, folder),
+                   churn=_stored_view(spark, folder, "churn", churn_scores))
