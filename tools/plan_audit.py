@@ -4,6 +4,7 @@ Reports, per key: shuffle count, single-partition exchanges (with the operator
 they gather), nested-loop / cartesian joins, broadcast exchanges, Python UDFs.
 
 usage: python tools/plan_audit.py [sf_dir] > PLANS.md
+       python tools/plan_audit.py --codegen [sf_dir]   (executes each key)
 """
 
 from __future__ import annotations
@@ -34,7 +35,45 @@ def audit(plan: str) -> dict:
     }
 
 
+_BOUNDARIES = ("AdaptiveSparkPlan", "Exchange", "BroadcastExchange", "ShuffleQueryStage",
+               "BroadcastQueryStage", "AQEShuffleRead", "ReusedExchange", "Subquery",
+               "SubqueryBroadcast", "ReusedSubquery", "TableCacheQueryStage", "InputAdapter",
+               "WholeStageCodegen", "ResultQueryStage")
+
+
+def outside_codegen(plan: str) -> list[str]:
+    """Operator names of an executed plan that run outside whole-stage codegen
+    (stage boundaries — exchanges, query stages, subqueries — excluded)."""
+    if "== Final Plan ==" in plan:  # executed adaptive plan: read the final section
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    names = []
+    for line in plan.splitlines():
+        body = line.lstrip(" :+-|")
+        if not body or body.startswith("*(") or body.startswith("== "):
+            continue
+        m = re.match(r"([A-Z][A-Za-z]+)", body)
+        if m and not m.group(1).startswith(_BOUNDARIES):
+            names.append(m.group(1))
+    return sorted(set(names))
+
+
+def codegen_report(spark, folder: str) -> None:
+    import __spark_entry__ as E
+    print("| key | operators outside whole-stage codegen |")
+    print("|---|---|")
+    for key, q in E.queries().items():
+        df = q(spark, folder)
+        df.collect()  # AQE inserts codegen stages at execution
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        print(f"| {key} | {', '.join(outside_codegen(plan)) or '–'} |", flush=True)
+
+
 def main() -> None:
+    if "--codegen" in sys.argv:
+        from tillsight.session import local_session
+        args = [a for a in sys.argv[1:] if a != "--codegen"]
+        codegen_report(local_session(8), args[0] if args else "/root/testdata/sf0.001")
+        return
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tillsight.session import local_session
     spark = local_session(8)
