@@ -11,7 +11,6 @@ from tillsight import warehouse
 from tillsight.model import Retail
 from tillsight.params import DASHBOARD_COUNTRIES
 from tillsight.plans import dashboard, eda, views
-from tillsight.sources import synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,14 +117,10 @@ def _etl(fn: Callable) -> Query:
 
 
 def _csv_roundtrip_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw export written as CSV with the reference header, read back by the
-    raw-CSV source (bad-line rule, NA tokens, explicit schema)."""
-    from tillsight.sources.csv import RAW_COLUMNS, read_raw_transactions, write_csv
-    from tillsight.sources.sinks import scratch_path
-    raw = synthetic.raw_transactions(spark, folder)
-    path = scratch_path(spark, "raw-csv")
-    write_csv(raw.withColumnsRenamed({v: k for k, v in RAW_COLUMNS.items()}), path)
-    return read_raw_transactions(spark, path)
+    """The raw export as a CSV file (written once per session with the reference
+    header), read by the raw-CSV source (bad-line rule, NA tokens, explicit schema)."""
+    from tillsight.sources.csv import read_raw_transactions
+    return read_raw_transactions(spark, warehouse.raw_export_csv(spark, folder))
 
 
 def _csv_roundtrip_clean(c) -> DataFrame:

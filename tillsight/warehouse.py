@@ -207,3 +207,18 @@ def synthetic_with_churn(spark: SparkSession, folder: str) -> Retail:
     from tillsight.plans.churn import churn_scores
     return replace(synthetic(spark, folder),
                    churn=_stored_view(spark, folder, "churn", churn_scores))
+
+
+def raw_export_csv(spark: SparkSession, folder: str) -> str:
+    """Path of the raw export written as CSV (reference header names), once per
+    session: the source the raw-CSV reader is exercised on."""
+    from tillsight.sources import synthetic as syn
+    from tillsight.sources.csv import RAW_COLUMNS, write_csv
+
+    def build() -> str:
+        path = f"{scratch_path(spark, 'raw-csv')}/export"
+        raw = syn.raw_transactions(spark, folder)
+        write_csv(raw.withColumnsRenamed({v: k for k, v in RAW_COLUMNS.items()}), path)
+        return path
+
+    return _cached(spark, "raw-csv", folder, build)
