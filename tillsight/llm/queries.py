@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import langid, mixing, quality_rules, sharding
+from tillsight.llm import (
+    langid,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_rules,
+    sharding,
+    warc,
+)
 from tillsight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +51,23 @@ def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_documents(read_table(spark, folder, "documents"),
                                          read_table(spark, folder, "labels"))
+
+
+@query
+def op2_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    out = warc.derive(warc.page_responses(read_table(spark, folder, "pages")), "page_id")
+    return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri",
+                      "content_length", "block_digest", "source_payload_digest", "n_words",
+                      F.size("headers").alias("n_headers"))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, folder, "documents"), shingle=2)
+
+
+@query
+def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.drop_repeated_chunks(read_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed",
+                      F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
