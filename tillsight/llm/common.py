@@ -8,6 +8,10 @@ as a Spark expression.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -19,10 +23,33 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Make this package importable in Python workers (once per application), however
+    the driver found it: Spark serves the archive to all executors."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="tillsight-code-"), "tillsight.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: a lineage
     cut that survives lost executors and gives the planner real sizes."""
     spark = df.sparkSession
+    ship(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

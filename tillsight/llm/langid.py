@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.llm.common import ship
+
 SLOTS = 1 << 16
 #: First code point of a range, and its script (0: no letter).
 SCRIPT_RANGES = [
@@ -139,6 +141,7 @@ class Model:
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id",
         max_train_docs: int = 20_000, max_langs: int = 256) -> Model | None:
     """Learn from documents with a label and a text; None if there are none."""
+    ship(labelled.sparkSession)
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().limit(max_langs + 1).collect()}
     if len(sizes) > max_langs:
@@ -244,6 +247,7 @@ def label_languages(df: DataFrame, model: Model | None, text: str = "text",
                     keep: dict[str, Column] | None = None, penalty: float = 8.0,
                     cap: float = 6.0) -> DataFrame:
     """``keep`` columns, lang_pred, score and spans of every row of ``df``."""
+    ship(df.sparkSession)
     keep = keep or {"doc_id": F.col("doc_id")}
     rows = df.select(*[e.alias(k) for k, e in keep.items()])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

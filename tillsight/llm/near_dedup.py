@@ -11,11 +11,12 @@ A document is the set of its distinct word shingles.
    signature distance are found.  At similarity 0.8 that distance covers 99.6 % of pairs;
    pairs beyond it usually meet as well (a pair at 0.8 misses all keys with probability
    3e-6, at 0.85 with 4e-9).
-3. *Links*: under a key, every class is compared with the smallest and the largest class
-   of the key, not with all.  Compared pairs are confirmed on full shingle sets (JVM
-   ``array_intersect``), and confirmed links give components.  Then every pair of classes
-   that share a key, but are still in different components, is compared: no link between
-   components is lost, and links inside one component need no comparison.
+3. *Links*: under a key, every class is compared with the key's smallest class (its hub),
+   not with all.  Compared pairs are confirmed on full shingle sets (``array_intersect``),
+   and confirmed links give components.  A link that is still missing has an end that is
+   not in the component of a hub both ends met; :func:`pairs_by_difference` finds all such
+   links from the elements in which classes differ from the hub, without enumerating the
+   pairs of the group.  Links inside one component need no comparison.
 4. ``component_id`` is the smallest id reachable; exact copies follow their class.
 
 Large groups: copies collapse before keys are made; a key's classes are never gathered
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import mix64, ngram_hashes, stored, word_hashes
@@ -125,8 +126,11 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 .filter(pa.array(differ <= FAR))
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int,
-            percent: int) -> DataFrame:
+def _whole(sets: DataFrame, name: str) -> DataFrame:
+    return sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s_{name}"))
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have ``100 * common >= percent * union``."""
     side = lambda x: classes.select(
         F.col("cls").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}"))
@@ -134,16 +138,54 @@ def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int
         .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
         .select("a", "b", "sig_a", "sig_b").mapInArrow(_near, "a long, b long")
     close = stored(close.distinct(), "close-pairs")
-    ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
-    sets = stored(texts.join(ids, "id").select("id", "text")
-                  .mapInArrow(_sets(shingle), "id long, shingles array<long>"), "sets")
-    whole = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - common
-    return stored(close.join(whole("a"), "a").join(whole("b"), "b")
+    return stored(close.join(_whole(sets, "a"), "a").join(_whole(sets, "b"), "b")
                   .filter(100 * common >= percent * union).select("a", "b").distinct(), "links")
 
 
+def pairs_by_difference(hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may be linked although neither is linked to their hub.
+
+    ``hubs``: x, c (component of x), b (its hub), h (component of the hub).  For a class
+    x, let d(x) be the elements in which it differs from the hub.  Sizes n, and
+    r = (100 - percent) / (100 + percent): a link of x and y is a symmetric difference of
+    at most r * (n_x + n_y) = |d(x)| + |d(y)| - 2 * |d(x) & d(y)|.  As x is not linked to
+    the hub, |d(x)| > r * (n_x + n_hub), so |d(x) & d(y)| > (|d(y)| + r * (n_hub - n_y)) / 2,
+    and it is also at least |d(x)| - n_x * (100 - percent) / percent.  By the prefix-filter
+    principle the pair shares one of the first elements, rarest first, of both differences;
+    only such pairs are returned, which is far from all pairs of a large group."""
+    up, down = 100 + percent, 100 - percent
+    stray = hubs.filter("c <> h").select("b").distinct()
+    s_x, s_b = F.col("s_x"), F.col("s_b")
+    differ = F.concat(F.array_except(s_x, s_b), F.array_except(s_b, s_x))
+    rows = hubs.join(stray, "b").join(_whole(sets, "x"), "x").join(_whole(sets, "b"), "b") \
+        .withColumn("d", differ).withColumn("size", F.size("d"))
+    least_index = F.floor((up * F.col("size") + down * (F.size(s_b) - F.size(s_x))) / (2 * up))
+    least_probe = F.col("size") - F.floor(down * F.size(s_x) / percent) - 1
+    rows = rows.select(
+        "b", "x", "c", (F.col("c") != F.col("h")).alias("stray"), "d",
+        (F.col("size") - F.greatest(F.lit(0), least_index)).alias("as_index"),
+        (F.col("size") - F.greatest(F.lit(0), least_probe)).alias("as_probe"))
+    rows = stored(rows.select("b", "x", "c", "stray", "as_index", "as_probe",
+                              F.explode("d").alias("el")), "differences")
+    often = rows.groupBy("b", "el").agg(F.count(F.lit(1)).alias("often"),
+                                        F.bool_or("stray").alias("probed")) \
+        .filter("often > 1 and probed").select("b", "el", "often")
+    # an element of one class only is first in the order, and meets nothing
+    place = Window.partitionBy("b", "x").orderBy(F.coalesce("often", F.lit(1)), "el")
+    ranked = stored(rows.join(often, ["b", "el"], "left")
+                    .withColumn("place", F.row_number().over(place))
+                    .filter("often is not null and place <= greatest(as_index, as_probe)"),
+                    "prefixes")
+    probe = ranked.filter("stray and place <= as_probe") \
+        .select("b", "el", F.col("x").alias("p"), F.col("c").alias("pc"))
+    index = ranked.filter("place <= as_index") \
+        .select("b", "el", F.col("x").alias("q"), F.col("c").alias("qc"))
+    met = probe.join(index, ["b", "el"]).filter("pc <> qc")
+    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``df``."""
@@ -156,28 +198,25 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80,
                      .agg(F.min("id").alias("cls"), F.min("sig").alias("sig")), "classes")
     keys = classes.select("cls", "sig").mapInArrow(_keys, "key long, cls long")
     shared = keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")) \
-        .filter("lo < hi")
+        .filter("lo < hi").select("key", "lo")
     members = stored(keys.join(shared, "key"), "members")
+    ids = members.select(F.col("cls").alias("id")).distinct()
+    sets = stored(texts.join(ids, "id").select("id", "text")
+                  .mapInArrow(_sets(shingle), "id long, shingles array<long>"), "sets")
 
-    stars = members.select(F.col("lo").alias("a"), F.col("cls").alias("b")).union(
-        members.select(F.col("cls").alias("a"), F.col("hi").alias("b")))
-    tried = stored(stars.filter("a < b").distinct(), "stars")
-    texts = texts.filter("id is not null")
-    links = confirm(tried, classes, texts, shingle, percent)
+    tried = stored(members.filter("lo < cls").select(
+        F.col("lo").alias("a"), F.col("cls").alias("b")).distinct(), "stars")
+    links = confirm(tried, classes, sets, percent)
     comp = stored(connected_components(links), "components")
 
-    # keys whose classes are still in several components: compare across components
-    placed = members.select("key", "cls").join(
-        comp.withColumnRenamed("node", "cls"), "cls", "left") \
-        .withColumn("c", F.coalesce("component", "cls")).select("key", "cls", "c")
-    open_ = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")) \
-        .filter("x < y").select("key")
-    placed = stored(placed.join(open_, "key"), "open-keys")
-    other = placed.select("key", F.col("cls").alias("b"), F.col("c").alias("d"))
-    across = placed.withColumnRenamed("cls", "a").join(other, "key") \
-        .filter("a < b and c <> d").select("a", "b").distinct() \
+    # classes that met a hub under some key, and are not in its component
+    of = lambda x, c: comp.select(F.col("node").alias(x), F.col("component").alias(c))
+    hubs = tried.select(F.col("b").alias("x"), F.col("a").alias("b")) \
+        .join(of("x", "c"), "x", "left").join(of("b", "h"), "b", "left") \
+        .select("x", "b", F.coalesce("c", "x").alias("c"), F.coalesce("h", "b").alias("h"))
+    across = pairs_by_difference(stored(hubs, "hubs"), sets, percent) \
         .join(tried, ["a", "b"], "left_anti")
-    more = confirm(stored(across, "across"), classes, texts, shingle, percent)
+    more = confirm(stored(across, "across"), classes, sets, percent)
     comp = stored(connected_components(links.union(more)), "components")
 
     of_class = classes.join(comp, F.col("cls") == F.col("node"), "left").select(

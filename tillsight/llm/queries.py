@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.llm import (
     langid,
     line_dedup,
+    lm_score,
     mixing,
     near_dedup,
     quality_rules,
@@ -71,3 +72,8 @@ def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.drop_repeated_chunks(read_table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed",
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_documents(read_table(spark, folder, "documents"))

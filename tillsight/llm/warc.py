@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.llm.common import ship
+
 CRLF = "\r\n"
 #: Headers of the capture that derivatives carry over from the response.
 CARRIED = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID",
@@ -163,6 +165,7 @@ def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def derive(responses: DataFrame, key: str) -> DataFrame:
     """Derivative records of ``responses`` (``key``, ``headers`` array of name/value
     structs, ``block`` binary: the HTTP message)."""
+    ship(responses.sparkSession)
     kind = responses.schema[key].dataType.simpleString()
     return responses.select(key, "headers", "block") \
         .mapInArrow(_derive, f"`{key}` {kind}, {OUT}")
@@ -200,6 +203,8 @@ def parse_warc(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files (one file per task): file, headers, block.  Split crawls
     into files that fit a task, as WARC tools do (about 1 GB)."""
+    ship(spark)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gzip
         for batch in batches:
