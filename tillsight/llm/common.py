@@ -28,7 +28,8 @@ _SHIPPED: set[str] = set()
 
 def ship(spark) -> None:
     """Make this package importable in Python workers (once per application), however
-    the driver found it: Spark serves the archive to all executors."""
+    the driver found it: Spark serves the archive to all executors.  Call it
+    before building a plan with Python functions."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -49,7 +50,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: a lineage
     cut that survives lost executors and gives the planner real sizes."""
     spark = df.sparkSession
-    ship(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

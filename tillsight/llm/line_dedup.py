@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import mix64, stored
+from tillsight.llm.common import mix64, ship, stored
 
 SPAN, EVERY, SHORTEST, LONGEST = 2, 3, 2, 16
 
@@ -114,6 +114,7 @@ def repeated_chunks(texts: DataFrame) -> DataFrame:
 
 def drop_repeated_chunks(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed and kept_text of every row of ``df``."""
+    ship(df.sparkSession)
     texts = df.select(F.col(id_col).cast("long").alias("id"),
                       F.col(text).cast("binary").alias("text"))
     cuts = repeated_chunks(texts).groupBy("id") \

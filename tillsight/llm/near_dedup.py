@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import mix64, ngram_hashes, stored, word_hashes
+from tillsight.llm.common import mix64, ngram_hashes, ship, stored, word_hashes
 from tillsight.llm.graph import connected_components
 
 CHUNKS, WIDTH = 12, 6
@@ -189,6 +189,7 @@ def pairs_by_difference(hubs: DataFrame, sets: DataFrame, percent: int) -> DataF
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``df``."""
+    ship(df.sparkSession)
     texts = df.select(F.col(id_col).cast("long").alias("id"),
                       F.col(text).cast("binary").alias("text"))
     docs = stored(texts.mapInArrow(
