@@ -15,6 +15,7 @@ from tillsight.llm import (
     near_dedup,
     quality_rules,
     sharding,
+    substring_dedup,
     warc,
 )
 from tillsight.sources.tables import read_table
@@ -77,3 +78,9 @@ def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score_documents(read_table(spark, folder, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.drop_repeated_windows(
+        read_table(spark, folder, "documents"), digests=True)
