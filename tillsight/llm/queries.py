@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
+    decontaminate,
     langid,
     line_dedup,
     lm_score,
@@ -84,3 +85,9 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.drop_repeated_windows(
         read_table(spark, folder, "documents"), digests=True)
+
+
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, folder, "documents"),
+                                      read_table(spark, folder, "benchmark"))
