@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillsight.llm.common import ship
 
@@ -250,11 +251,11 @@ def label_languages(df: DataFrame, model: Model | None, text: str = "text",
     ship(df.sparkSession)
     keep = keep or {"doc_id": F.col("doc_id")}
     rows = df.select(*[e.alias(k) for k, e in keep.items()])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema = StructType(rows.schema.fields + StructType.fromDDL(OUT).fields)
     first, *rest = [e.alias(k) for k, e in keep.items()]
     source = df.select(first, F.col(text).cast("binary").alias("__text"), *rest)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    return source.mapInArrow(_label(shared, penalty, cap), f"{fields}, {OUT}")
+    return source.mapInArrow(_label(shared, penalty, cap), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
