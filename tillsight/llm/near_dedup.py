@@ -164,10 +164,11 @@ def pairs_by_difference(hubs: DataFrame, sets: DataFrame, percent: int) -> DataF
     least_index = F.floor((up * F.col("size") + down * (F.size(s_b) - F.size(s_x))) / (2 * up))
     least_probe = F.col("size") - F.floor(down * F.size(s_x) / percent) - 1
     rows = rows.select(
-        "b", "x", "c", (F.col("c") != F.col("h")).alias("stray"), "d",
+        "b", "x", "c", (F.col("c") != F.col("h")).alias("stray"), "d", "size",
+        F.size(s_x).alias("n"),
         (F.col("size") - F.greatest(F.lit(0), least_index)).alias("as_index"),
         (F.col("size") - F.greatest(F.lit(0), least_probe)).alias("as_probe"))
-    rows = stored(rows.select("b", "x", "c", "stray", "as_index", "as_probe",
+    rows = stored(rows.select("b", "x", "c", "stray", "size", "n", "as_index", "as_probe",
                               F.explode("d").alias("el")), "differences")
     often = rows.groupBy("b", "el").agg(F.count(F.lit(1)).alias("often"),
                                         F.bool_or("stray").alias("probed")) \
@@ -178,12 +179,19 @@ def pairs_by_difference(hubs: DataFrame, sets: DataFrame, percent: int) -> DataF
                     .withColumn("place", F.row_number().over(place))
                     .filter("often is not null and place <= greatest(as_index, as_probe)"),
                     "prefixes")
-    probe = ranked.filter("stray and place <= as_probe") \
-        .select("b", "el", F.col("x").alias("p"), F.col("c").alias("pc"))
-    index = ranked.filter("place <= as_index") \
-        .select("b", "el", F.col("x").alias("q"), F.col("c").alias("qc"))
-    met = probe.join(index, ["b", "el"]).filter("pc <> qc")
-    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("x", "c", "size", "n", "place")]
+    probe = ranked.filter("stray and place <= as_probe").select("b", "el", *side("p"))
+    index = ranked.filter("place <= as_index").select("b", "el", *side("q"))
+    # both sizes known: the common elements a link needs, and so the places a first one has
+    needs = up * (F.col("p_size") + F.col("q_size")) - down * (F.col("p_n") + F.col("q_n"))
+    met = probe.alias("p").join(index.alias("q"), (
+        (F.col("p.b") == F.col("q.b")) & (F.col("p.el") == F.col("q.el"))
+        & (F.col("p_c") != F.col("q_c"))
+        & (100 * F.least("p_n", "q_n") >= percent * F.greatest("p_n", "q_n"))
+        & (needs <= 2 * up * (F.col("p_size") + 1 - F.col("p_place")))
+        & (needs <= 2 * up * (F.col("q_size") + 1 - F.col("q_place")))))
+    return met.select(F.least("p_x", "q_x").alias("a"),
+                      F.greatest("p_x", "q_x").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80,
