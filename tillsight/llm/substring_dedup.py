@@ -103,7 +103,7 @@ class Runs:
         return mix64(held + self.windows.astype(np.uint64))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], limit: int = 1 << 23):
+def _parts(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
     """(ids, Runs) of consecutive documents, about ``limit`` bytes each."""
     for batch in batches:
         ids, texts, held = [], [], 0
