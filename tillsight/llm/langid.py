@@ -200,42 +200,49 @@ _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()),
                              ("lang", pa.string())]))
 
 
+def _label_texts(texts: list[bytes], m: Model | None, penalty: float,
+                 cap: float) -> Iterator[tuple[str, float, list[dict]]]:
+    """(language, score, spans) of a few MB of texts."""
+    if m is None:
+        yield from (("und", 0.0, []) for _ in texts)
+        return
+    parts = []
+    for chunk in _chunks(texts):
+        w = Words(chunk)
+        s = w.sums(m.scores[w.slots] * w.letter[:, None])
+        s -= s.max(1, keepdims=True)
+        np.maximum(s, -cap, out=s)
+        s[m.barred[w.script]] = -2 * cap
+        parts.append((s, w.per_text, w.sums(w.letter.astype(np.int64))))
+    scores, lengths, letters = (np.concatenate(p) for p in zip(*parts, strict=True))
+    label = viterbi(scores, lengths, penalty)
+    edge = np.concatenate([[0], np.cumsum(lengths)])
+    doc = np.repeat(np.arange(len(texts)), lengths)
+    held = np.bincount(doc * len(m.langs) + label, letters,
+                       len(texts) * len(m.langs)).reshape(len(texts), -1)
+    top, total = held.argmax(1), held.sum(1)
+    for i, t in enumerate(texts):
+        if not any(map(str.isalpha, t.decode("utf-8", "ignore"))):
+            yield "und", 0.0, []
+            continue
+        x = label[edge[i]:edge[i + 1]]
+        cut = np.flatnonzero(np.diff(x)) + 1
+        yield m.langs[top[i]], float(held[i, top[i]] / max(total[i], 1)), [
+            {"first": int(f), "last": int(e) - 1, "lang": m.langs[x[f]]}
+            for f, e in zip(np.append(0, cut), np.append(cut, len(x)), strict=True)]
+
+
 def _label(model, penalty: float, cap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = model.value
         for batch in batches:
-            n, texts = batch.num_rows, _texts(batch, 1)
-            pred, score, spans = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
-            if m is not None and n:
-                parts = []
-                for chunk in _chunks(texts):
-                    w = Words(chunk)
-                    s = w.sums(m.scores[w.slots] * w.letter[:, None])
-                    s -= s.max(1, keepdims=True)
-                    np.maximum(s, -cap, out=s)
-                    s[m.barred[w.script]] = -2 * cap
-                    parts.append((s, w.per_text, w.sums(w.letter.astype(np.int64))))
-                scores = np.concatenate([p[0] for p in parts])
-                lengths = np.concatenate([p[1] for p in parts])
-                letters = np.concatenate([p[2] for p in parts])
-                label = viterbi(scores, lengths, penalty)
-                edge = np.concatenate([[0], np.cumsum(lengths)])
-                doc = np.repeat(np.arange(n), lengths)
-                held = np.bincount(doc * len(m.langs) + label, letters,
-                                   n * len(m.langs)).reshape(n, -1)
-                top, total = held.argmax(1), held.sum(1)
-                for i, t in enumerate(texts):
-                    if total[i] == 0 or not any(map(str.isalpha, t.decode("utf-8", "ignore"))):
-                        if not any(map(str.isalpha, t.decode("utf-8", "ignore"))):
-                            continue
-                        pred[i] = m.langs[0]
-                        continue
-                    pred[i], score[i] = m.langs[top[i]], held[i, top[i]] / total[i]
-                    x = label[edge[i]:edge[i + 1]]
-                    cut = np.flatnonzero(np.diff(x)) + 1
-                    spans[i] = [{"first": int(f), "last": int(e) - 1, "lang": m.langs[x[f]]}
-                                for f, e in zip(np.append(0, cut), np.append(cut, len(x)),
-                                                strict=True)]
+            texts = _texts(batch, 1)
+            pred, score, spans = [], [], []
+            for part in _chunks(texts, 1 << 23):
+                for x, y, z in _label_texts(part, m, penalty, cap):
+                    pred.append(x)
+                    score.append(y)
+                    spans.append(z)
             yield pa.record_batch({
                 **{f: batch.column(f) for f in batch.schema.names if f != "__text"},
                 "lang_pred": pa.array(pred, pa.string()),
