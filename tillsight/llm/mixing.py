@@ -13,7 +13,8 @@
 4. A pattern with flow ``f`` over capacity ``c`` takes every document ``f div c``
    times, and a seeded subset of ``f mod c`` words once more: documents in the order
    of a seeded hash, a distributed running sum, whole documents while they fit;
-   ``fills`` further passes offer what is left to the documents that still fit.
+   ``fills`` further passes offer what is left to the documents that still fit, and the
+   document nearest to the rest is added where that lowers the difference.
 
 Defined cases: null text has no words and is taken 0 times; a null source is a
 source of its own, last in the order; rows with equal ids are separate documents;
@@ -214,7 +215,15 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
                       .select("__rn", "__p", "__size"), "mix-fill")
         rest = rest.join(more.select("__rn"), "__rn", "left_anti")
         chosen = stored(chosen.unionByName(more), "mix-chosen")
-    extra = chosen.select("__rn", F.lit(1).alias("__one"))
+    # one more document where it brings the pattern nearer to its flow
+    got = chosen.groupBy("__p").agg(F.sum("__size").alias("__got"))
+    off = F.abs(F.col("__room") - F.col("__size"))
+    last = rest.join(got, "__p", "left") \
+        .withColumn("__room", F.col("__left") - F.coalesce("__got", F.lit(0))) \
+        .filter(off < F.col("__room")) \
+        .groupBy("__p").agg(F.min_by(F.struct("__rn", "__size"), F.struct(off, "__rn")).alias("x")) \
+        .select("x.__rn", "__p", "x.__size")
+    extra = chosen.unionByName(last).select("__rn", F.lit(1).alias("__one"))
     copies = F.when(F.col("__size") > 0, F.col("__copies") + F.coalesce("__one", F.lit(0))) \
         .otherwise(0)
     return numbered.join(extra, "__rn", "left").select(

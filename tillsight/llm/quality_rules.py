@@ -153,7 +153,8 @@ def learn_rules(stats: DataFrame, bad: str, id_col: str = "doc_id", max_rows: in
     levels = {f: sorted({v for r in found for v in r[f]}) for f in features}
     thresholds = {f: [(a + b) / 2 for a, b in zip(v, v[1:], strict=False)]
                   for f, v in levels.items()}
-    codes = {f: sum((F.col(f) > t).cast("int") for t in thresholds[f]) for f in features}
+    codes = {f: sum(((F.col(f) > t).cast("int") for t in thresholds[f]), F.lit(0))
+             for f in features}
     coded = stored(rows.select("__bad", (F.pmod("__draw", F.lit(3)) == 2).alias("__prune"),
                                *[c.alias(f) for f, c in codes.items()]), "rule-codes")
 

@@ -193,8 +193,13 @@ def page_responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> Data
 def parse_warc(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
     """(headers, block) of the records of an uncompressed WARC file."""
     at = 0
-    while (end := data.find(b"\r\n\r\n", at)) >= 0:
-        headers, _, _ = split_head(data[at:end + 4].lstrip(b"\r\n"))
+    while True:
+        while data[at:at + 2] == b"\r\n":
+            at += 2
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            return
+        headers, _, _ = split_head(data[at:end + 4])
         size = int(_get(headers, "Content-Length", "0"))
         yield headers, data[end + 4:end + 4 + size]
         at = end + 4 + size
