@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tillsight.sources.sinks import scratch_path
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
@@ -29,7 +31,10 @@ _SHIPPED: set[str] = set()
 def ship(spark) -> None:
     """Make this package importable in Python workers (once per application), however
     the driver found it: Spark serves the archive to all executors.  Call it
-    before building a plan with Python functions."""
+    before building a plan with Python functions.  Where the session has Spark's default,
+    Arrow batches are also cut to ``BATCH_ROWS`` rows, as rows hold whole texts."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
