@@ -3,15 +3,17 @@
 import pytest
 
 import __spark_entry__ as E
+from tillsight.registry import QUERIES
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 def test_every_key_has_oracle_or_is_rows_only():
     rows_only = set(KEYS) - set(E.oracle_sql())
     assert rows_only == {"sample_fixed_n", "churn_eval", "churn_cost_benefit"}
-    assert set(E.oracle_sql()) <= set(KEYS)
+    assert set(KEYS) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

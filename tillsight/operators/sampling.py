@@ -5,27 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest sample taken with a per-partition top-n and a single merge task; larger
-# samples are numbered with the distributed global order instead.
-TOP_N_MAX = 100_000
-
+from tillsight.operators.ordered import with_row_numbers
 
 def sample_fixed_n(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones on every run and layout.
 
     Rows are ranked by a seeded hash of ``key`` (default: all columns, which also
     break hash ties) and the ``n`` smallest kept.  ``DataFrame.sample`` draws a
-    fraction, not an exact count.  Up to ``TOP_N_MAX`` rows this is a
-    per-partition top-n merged in one task (memory bounded by ``n``); beyond it
-    the rows are numbered by :func:`~tillsight.operators.ordered.with_row_numbers`
-    and filtered, so no task holds the sample.
+    fraction, not an exact count.  The rows are numbered in that order by
+    :func:`~tillsight.operators.ordered.with_row_numbers` and filtered, whatever ``n``
+    is, so no task holds the sample.
     """
     cols = key or df.columns
     h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
-    hashed = df.withColumn("__h", h)
-    if n <= TOP_N_MAX:
-        return hashed.orderBy("__h", *[F.col(f"`{c}`") for c in cols]).limit(n).drop("__h")
-    from tillsight.operators.ordered import with_row_numbers
     order = [("__h", True)] + [(c, True) for c in cols]
-    return with_row_numbers(hashed, order, row_number="__rn") \
+    return with_row_numbers(df.withColumn("__h", h), order, row_number="__rn") \
         .filter(F.col("__rn") <= n).drop("__h", "__rn")

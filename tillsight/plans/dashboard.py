@@ -71,7 +71,8 @@ def revenue_by_year(r: Retail) -> DataFrame:
 
 
 def top10_countries(r: Retail, k: int = 10) -> DataFrame:
-    return (r.invoice_totals().groupBy("country").agg(F.sum("revenue").alias("rev"))
+    return (r.invoice_totals().filter(F.col("country").isNotNull())
+            .groupBy("country").agg(F.sum("revenue").alias("rev"))
             .orderBy(F.col("rev").desc(), "country").limit(k)
             .select("country", as_double("rev").alias("revenue")))
 
@@ -199,7 +200,7 @@ def returns_kpis(r: Retail) -> DataFrame:
 
 
 def returns_by_country(r: Retail, k: int = 10) -> DataFrame:
-    return (r.returns.groupBy("country").agg(F.count(F.lit(1)).alias("return_count"))
+    return (r.returns.filter(F.col("country").isNotNull()).groupBy("country").agg(F.count(F.lit(1)).alias("return_count"))
             .orderBy(F.col("return_count").desc(), "country").limit(k))
 
 

@@ -36,7 +36,7 @@ def dim_customers(sales: DataFrame, returns: DataFrame) -> DataFrame:
         _customer_key(F.col("customer_id")).alias("customer_id"), "country",
         F.lit(0).alias("src"), "invoice_date", "invoice_no", "stock_code")
     from_returns = returns.filter(F.col("customer_id").isNotNull()
-                                  & (F.col("customer_id") != 0)).select(
+                                  & (F.col("customer_id") != P.GUEST_ID)).select(
         _customer_key(F.col("customer_id")).alias("customer_id"), "country",
         F.lit(1).alias("src"), "invoice_date", "invoice_no", "stock_code")
     order = F.struct("src", "invoice_date", "invoice_no", "stock_code")

@@ -58,10 +58,10 @@ def outside_codegen(plan: str) -> list[str]:
 
 
 def codegen_report(spark, folder: str) -> None:
-    import __spark_entry__ as E
+    from tillsight.registry import QUERIES
     print("| key | operators outside whole-stage codegen |")
     print("|---|---|")
-    for key, q in E.queries().items():
+    for key, q in QUERIES.items():
         df = q(spark, folder)
         df.collect()  # AQE inserts codegen stages at execution
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -77,10 +77,10 @@ def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tillsight.session import local_session
     spark = local_session(8)
-    import __spark_entry__ as E
+    from tillsight.registry import QUERIES
     print("| key | shuffles | broadcasts | nested-loop | python | single-partition gathers |")
     print("|---|---|---|---|---|---|")
-    for key, q in E.queries().items():
+    for key, q in QUERIES.items():
         df = q(spark, folder)
         plan = df._jdf.queryExecution().executedPlan().toString()
         a = audit(plan)
