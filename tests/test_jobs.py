@@ -22,4 +22,4 @@ def test_etl_then_marts(spark, tmp_path):
     assert kpi.units_returned == 4
     growth = spark.read.parquet(paths["views/monthly_growth"])
     assert growth.filter(F.col("year") == 2011).count() == 6
-    assert len(paths) == 46
+    assert len(paths) == 49

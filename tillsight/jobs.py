@@ -3,6 +3,7 @@
     python -m tillsight.jobs etl   --raw <export.csv|dir> --out <warehouse dir>
     python -m tillsight.jobs marts --warehouse <warehouse dir> --out <marts dir>
                                    [--years 2010,2011] [--countries "EIRE,France"]
+                                   --home "United Kingdom" --rfm-date "2011-12-10 00:00:00"
 
 ``etl`` cleans the raw export, writes the flat clean tables (Parquet partitioned by
 year, month, plus CSV copies), builds the star schema and writes its five tables;
@@ -16,14 +17,15 @@ Outputs are written with ``overwrite``: re-running a job replaces its output.
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tillsight import params as P
 from tillsight.model import Retail
 from tillsight.operators import cleaning, quality
-from tillsight.plans import dashboard, eda, star, views
-from tillsight.sources.csv import read_raw_transactions, write_csv
+from tillsight.plans import dashboard, eda, etl, star, views
+from tillsight.sources.csv import malformed_values, read_raw_transactions, write_csv
 from tillsight.sources.sinks import write_table
 
 STAR_TABLES = ("customers", "products", "invoices", "invoice_items", "returns")
@@ -34,51 +36,61 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> Retail:
     sales, returns = cleaning.clean(raw)
     write_table(sales, f"{out}/clean_sales", ["year", "month"])
     write_table(returns, f"{out}/clean_returns")
+    sales = spark.read.parquet(f"{out}/clean_sales").select(*cleaning.CLEAN_COLUMNS)
+    returns = spark.read.parquet(f"{out}/clean_returns")
     write_csv(sales, f"{out}/csv/clean_sales")
     write_csv(returns, f"{out}/csv/clean_returns")
-    sales = spark.read.parquet(f"{out}/clean_sales")
-    returns = spark.read.parquet(f"{out}/clean_returns")
     r = star.build(sales, returns)
     for name, df, parts in (("customers", r.customers, None), ("products", r.products, None),
                             ("invoices", r.invoices, ["year"]),
                             ("invoice_items", r.items, None), ("returns", r.returns, None)):
         write_table(df, f"{out}/{name}", parts)
-    base = read_star(spark, out)
+    base = read_star(spark, out, derived=False)
     # derived shapes every mart reads: the flat line table and the invoice summary
-    write_table(base.sales(), f"{out}/lines", ["year", "month"])
+    write_table(star.flat_lines(star.loadable(sales, returns)[0]), f"{out}/lines",
+                ["year", "month"])
     write_table(base.invoice_totals(), f"{out}/totals", ["year"])
+    write_table(etl.eda_totals(raw), f"{out}/eda_totals", ["year"])
     stored = read_star(spark, out)
+    write_table(malformed_values(spark, raw_path), f"{out}/_reports/malformed")
     write_table(cleaning.cleaning_report(raw, sales, returns), f"{out}/_reports/cleaning")
     write_table(star.row_counts(stored), f"{out}/_reports/row_counts")
     return stored
 
 
-def read_star(spark: SparkSession, out: str) -> Retail:
+SUMMARY = ["invoice_no", "customer_id", "country", "invoice_date", "year", "month", "is_guest",
+           "revenue", "units", "n_lines"]
+
+
+def read_star(spark: SparkSession, out: str, derived: bool = True) -> Retail:
+    """The stored star schema, with its derived line table and invoice summary."""
     def t(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
-    def optional(name: str, cols: list[str]) -> DataFrame | None:
-        try:
-            return t(name).select(*cols)
-        except AnalysisException:
-            return None
     header = ["invoice_no", "customer_id", "country", "invoice_date", "year", "month",
               "is_guest"]
     items = t("invoice_items")
     return Retail(
         invoices=t("invoices").select(*header), items=items, returns=t("returns"),
         products=t("products"), customers=t("customers"),
-        totals=optional("totals", header + ["revenue", "units", "n_lines"]),
-        lines=optional("lines", items.columns + [c for c in header if c != "invoice_no"]))
+        totals=t("totals").select(*SUMMARY) if derived else None,
+        lines=t("lines").select(*items.columns, "description",
+                                *[c for c in header if c != "invoice_no"]) if derived else None)
 
 
-def marts(r: Retail, years=None, countries=None) -> dict[str, DataFrame]:
-    """Every mart over a star schema; dashboard tabs under the given filter."""
+def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None = None,
+          home: str = P.HOME_COUNTRY,
+          rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, DataFrame]:
+    """Every mart over a star schema; dashboard tabs under the given filter, exploratory
+    reports over ``eda_totals`` (the invoice summary of the exploratory lines)."""
     out: dict[str, DataFrame] = {}
+    r = replace(r, rfm=views.rfm_scored(r, rfm_date), ranking=views.product_ranking(r))
     for name in ("monthly_growth", "monthly_revenue", "top_customers", "rfm_segments",
                  "rfm_segment_summary", "rfm_segment_share", "topn_customer_share",
-                 "country_revenue", "country_ranking", "intl_top10", "product_ranking",
-                 "pareto_80", "pareto_count", "return_rate"):
+                 "country_revenue", "country_ranking", "product_ranking",
+                 "pareto_80", "pareto_count", "pareto_curve_85", "rfm_at_risk",
+                 "top10_customers_rfm", "return_rate"):
         out[f"views/{name}"] = getattr(views, name)(r)
+    out["views/intl_top10"] = views.intl_top10(r, home)
     f = r.filtered(years=years, countries=countries)
     out["dashboard/kpi_cards"] = dashboard.kpi_cards(f)
     for name in ("monthly_rolling_avg", "revenue_by_year", "top10_countries",
@@ -88,10 +100,12 @@ def marts(r: Retail, years=None, countries=None) -> dict[str, DataFrame]:
                  "returns_kpis", "returns_by_country", "returns_by_product",
                  "returns_monthly", "filter_options"):
         out[f"dashboard/{name}"] = getattr(dashboard, name)(f)
-    for name in ("kpi_overview", "peak_month", "home_market_share", "intl_markets",
-                 "revenue_by_weekday", "weekday_extremes", "retention_split",
-                 "hist_orders_per_customer"):
-        out[f"eda/{name}"] = getattr(eda, name)(r)
+    e = r if eda_totals is None else replace(r, totals=eda_totals)
+    for name in ("kpi_overview", "peak_month", "revenue_by_weekday", "weekday_extremes",
+                 "retention_split", "hist_orders_per_customer"):
+        out[f"eda/{name}"] = getattr(eda, name)(e)
+    out["eda/home_market_share"] = eda.home_market_share(e, home)
+    out["eda/intl_markets"] = eda.intl_markets(e, home)
     for name in ("dq_not_null", "dq_check", "dq_pk_dups", "dq_fk_orphans"):
         out[f"quality/{name}"] = getattr(quality, name)(r)
     out["quality/customer_orphans"] = quality.customer_orphans(r.customers)
@@ -99,10 +113,12 @@ def marts(r: Retail, years=None, countries=None) -> dict[str, DataFrame]:
 
 
 def run_marts(spark: SparkSession, warehouse: str, out: str, years=None,
-              countries=None) -> dict[str, str]:
+              countries=None, home: str = P.HOME_COUNTRY,
+              rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, str]:
     r = read_star(spark, warehouse)
+    summary = spark.read.parquet(f"{warehouse}/eda_totals").select(*SUMMARY)
     paths = {}
-    for name, df in marts(r, years, countries).items():
+    for name, df in marts(r, years, countries, summary, home, rfm_date).items():
         path = f"{out}/{name}"
         write_table(df, path)
         paths[name] = path
@@ -120,6 +136,8 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--out", required=True)
     m.add_argument("--years", default=None, help="comma-separated; omit for all years")
     m.add_argument("--countries", default="", help="comma-separated; empty for all")
+    m.add_argument("--home", required=True, help="country of the home market")
+    m.add_argument("--rfm-date", required=True, help="RFM reference date")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"tillsight-{args.job}").getOrCreate()
     if args.job == "etl":
@@ -127,7 +145,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         years = [int(y) for y in args.years.split(",") if y] if args.years is not None else None
         countries = [c for c in args.countries.split(",") if c]
-        run_marts(spark, args.warehouse, args.out, years, countries)
+        run_marts(spark, args.warehouse, args.out, years, countries, args.home, args.rfm_date)
 
 
 if __name__ == "__main__":

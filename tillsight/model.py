@@ -77,7 +77,7 @@ class Retail:
         return self.items.join(inv, "invoice_no")
 
     def filtered(self, years=None, countries=None) -> "Retail":
-        """Dashboard filter applied to the invoice headers and the returns.
+        """Dashboard filter applied to the invoice headers, their lines and the returns.
 
         ``years``: list of years to keep (``None`` = all; an empty list keeps
         nothing).  ``countries``: list of countries (``None`` or empty = all).
@@ -95,8 +95,12 @@ class Retail:
             ret = ret.filter(keep_country)
             tot = tot.filter(keep_country) if tot is not None else None
             lin = lin.filter(keep_country) if lin is not None else None
+        items = self.items
+        if years is not None or countries:
+            items = items.join(inv.select("invoice_no"), "invoice_no", "left_semi") \
+                .select(*items.columns)
         # stored views describe the unfiltered tables: drop them
-        return replace(self, invoices=inv, returns=ret, totals=tot, lines=lin, rfm=None,
+        return replace(self, invoices=inv, items=items, returns=ret, totals=tot, lines=lin, rfm=None,
                        ranking=None, churn=None)
 
 

@@ -4,7 +4,7 @@
 
 1. returns are the lines whose invoice starts with ``C``; the rest are sales;
 2. sales keep product codes only: not a service code, first character a digit;
-3. sales keep ``unit_price > 0`` and ``quantity > 0``;
+3. sales keep ``unit_price > 0`` (before it is rounded to cents) and ``quantity > 0``;
 4. a missing description is filled with the code's most frequent description
    (ties → smallest text);
 5. ``is_guest`` flags a missing customer id;
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight import params as P
-from tillsight.functions.numeric import MONEY
+from tillsight.functions.numeric import MONEY, PRICE
 
 
 def is_return(df: DataFrame) -> F.Column:
@@ -91,7 +91,9 @@ def clean(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     sales = impute_description(sales)
     sales = filter_country(flag_guests(sales))
     sales = add_revenue_calendar(sales)
-    return sales.select(*CLEAN_COLUMNS), returns.select(*RETURN_COLUMNS)
+    price = F.round("unit_price", 2).cast(PRICE)
+    return sales.withColumn("unit_price", price).select(*CLEAN_COLUMNS), \
+        returns.withColumn("unit_price", price).select(*RETURN_COLUMNS)
 
 
 def cleaning_report(raw: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 Every function takes a :class:`Retail` that may already carry the dashboard
 filter (:meth:`Retail.filtered`: years and countries, applied to invoice headers
 and returns alike, so the predicates reach the Parquet scans).  Line-level
-reports group by stock code first and only then meet the product dimension for
-the description, so the wide line table is never joined with products.
+reports group by the line's own description where the line table has it; else by stock
+code, and only then meet the product dimension for the description, so the wide line
+table is never joined with products.
 """
 
 from __future__ import annotations
@@ -97,6 +98,10 @@ def by_description(r: Retail, lines: DataFrame | None = None) -> DataFrame:
     """Line measures per product description (NULL descriptions dropped):
     revenue, units, sum of unit prices and line count."""
     lines = lines if lines is not None else r.sales()
+    if "description" in lines.columns:  # the line's own text, as in the flat export
+        return lines.filter(F.col("description").isNotNull()).groupBy("description").agg(
+            F.sum("revenue").alias("rev"), F.sum("quantity").alias("qty"),
+            F.sum("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("n_lines"))
     per_code = lines.groupBy("stock_code").agg(
         F.sum("revenue").alias("rev"), F.sum("quantity").alias("qty"),
         F.sum("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("n_lines"))
@@ -200,11 +205,16 @@ def returns_kpis(r: Retail) -> DataFrame:
 
 
 def returns_by_country(r: Retail, k: int = 10) -> DataFrame:
-    return (r.returns.filter(F.col("country").isNotNull()).groupBy("country").agg(F.count(F.lit(1)).alias("return_count"))
+    return (r.returns.filter(F.col("country").isNotNull()).groupBy("country")
+            .agg(F.count(F.lit(1)).alias("return_count"))
             .orderBy(F.col("return_count").desc(), "country").limit(k))
 
 
 def returns_by_product(r: Retail, k: int = 10) -> DataFrame:
+    if "description" in r.returns.columns:
+        return (r.returns.filter(F.col("description").isNotNull()).groupBy("description")
+                .agg(F.count(F.lit(1)).alias("return_count"))
+                .orderBy(F.col("return_count").desc(), "description").limit(k))
     per_code = r.returns.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n"))
     named = per_code.join(r.products.select("stock_code", "description"), "stock_code") \
         .filter(F.col("description").isNotNull())
@@ -221,6 +231,7 @@ def filter_options(r: Retail) -> DataFrame:
     """Distinct years and countries offered by the filter (invoices with sales)."""
     inv = r.invoice_totals()
     years = inv.select(F.lit("year").alias("field"), F.col("year").cast("string").alias("value"))
-    countries = inv.select(F.lit("country").alias("field"), F.col("country").alias("value"))
+    countries = inv.filter(F.col("country").isNotNull()) \
+        .select(F.lit("country").alias("field"), F.col("country").alias("value"))
     return years.union(countries).distinct()
 

@@ -39,6 +39,21 @@ def eda_lines(raw: DataFrame) -> DataFrame:
         .withColumn("revenue", F.col("quantity") * F.col("unit_price"))
 
 
+def eda_totals(raw: DataFrame) -> DataFrame:
+    """Invoice summary of the exploratory lines (the shape of ``Retail.totals``); the
+    header is the invoice's first line."""
+    attrs = F.struct("customer_id", "country", "invoice_date")
+    order = F.struct("invoice_date", "stock_code", "quantity", "unit_price")
+    return eda_lines(raw).filter(F.col("invoice_no").isNotNull()).groupBy("invoice_no").agg(
+        F.min_by(attrs, order).alias("a"), F.sum("revenue").alias("revenue"),
+        F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("n_lines")) \
+        .select("invoice_no", F.col("a.customer_id").cast("long").alias("customer_id"),
+                "a.country", "a.invoice_date", F.year("a.invoice_date").alias("year"),
+                F.month("a.invoice_date").alias("month"),
+                F.col("a.customer_id").isNull().alias("is_guest"),
+                "revenue", "units", "n_lines")
+
+
 def invoice_calendar(sales: DataFrame) -> DataFrame:
     """Calendar attributes of each sales invoice: year, month, yyyy-MM, weekday."""
     inv = sales.select("invoice_no", "invoice_date").distinct()

@@ -8,6 +8,8 @@ returns), with the loader's rules:
   description = modal sales description (ties → smallest);
 * invoices: one row per sales invoice (first line wins), guest id → ``GUEST_ID``;
 * items: sales lines of kept invoices, ``revenue = quantity × unit_price``;
+* sales lines without an invoice or a code, and return lines without a code, are not
+  loaded;
 * returns: lines of known codes, ``|quantity|``, unknown or missing customer →
   ``GUEST_ID``, ``revenue_lost = quantity × unit_price``.
 
@@ -30,6 +32,12 @@ def _customer_key(col: F.Column) -> F.Column:
     return col.cast("long")
 
 
+def loadable(sales: DataFrame, returns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines that have the keys the star needs."""
+    return sales.filter(F.col("invoice_no").isNotNull() & F.col("stock_code").isNotNull()), \
+        returns.filter(F.col("stock_code").isNotNull())
+
+
 def dim_customers(sales: DataFrame, returns: DataFrame) -> DataFrame:
     spark = sales.sparkSession
     from_sales = sales.filter(~F.col("is_guest") & F.col("customer_id").isNotNull()).select(
@@ -123,10 +131,19 @@ def fact_returns(returns: DataFrame, products: DataFrame | None,
     known = returns if products is None else \
         returns.join(products.select("stock_code"), "stock_code", "left_semi")
     fixed = reassign_orphans(known.withColumn("quantity", F.abs("quantity")), customers)
+    text = ["description"] if "description" in returns.columns else []
     return fixed.select(
         "invoice_no", "customer_id", "stock_code", "country", "quantity", "unit_price",
         "invoice_date",
-        (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("revenue_lost"))
+        (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("revenue_lost"), *text)
+
+
+def flat_lines(sales: DataFrame) -> DataFrame:
+    """The dashboard's line table: the line's own description and country."""
+    return sales.select(
+        "invoice_no", "stock_code", "description", "quantity", "unit_price", "revenue",
+        _customer_key(F.col("customer_id")).alias("customer_id"), "country", "invoice_date",
+        "year", "month", "is_guest")
 
 
 def build(sales: DataFrame, returns: DataFrame) -> Retail:
@@ -136,8 +153,9 @@ def build(sales: DataFrame, returns: DataFrame) -> Retail:
     are not re-run as joins over the facts: every sales invoice is in the invoice
     table (it is built from those lines) and every returned code is in the product
     table (built from sales ∪ returns codes).  ``dq_fk_orphans`` checks both.
-    Customer reassignment stays a lookup: ids of 0 are not registered.
+    Customer reassignment stays a lookup, for returns loaded beside an older dimension.
     """
+    sales, returns = loadable(sales, returns)
     customers = dim_customers(sales, returns)
     products = dim_products(sales, returns)
     invoices = dim_invoices(sales)

@@ -178,7 +178,7 @@ def _register_etl() -> None:
         "fact_items": _etl(lambda c: c.star().items),
         "items_revenue": _etl(lambda c: c.star().items.select(
             "invoice_no", "stock_code", "quantity", "unit_price", "revenue")),
-        "fact_returns": _etl(lambda c: c.star().returns),
+        "fact_returns": _etl(lambda c: c.star().returns.drop("description")),
         "semi_join_items": _etl(lambda c: c.sales.join(
             c.star().invoices.select("invoice_no"), "invoice_no", "left_semi")
             .select("invoice_no", "stock_code", "quantity")),

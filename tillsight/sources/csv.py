@@ -30,7 +30,8 @@ RAW_SCHEMA = T.StructType([
     T.StructField("Description", T.StringType()),
     T.StructField("Quantity", T.IntegerType()),
     T.StructField("InvoiceDate", T.TimestampNTZType()),
-    T.StructField("Price", T.DecimalType(10, 2)),
+    # wider than the stored price: the cleaning filters the price before rounding it
+    T.StructField("Price", T.DecimalType(18, 6)),
     # customer ids are exported as float text ("13668.0")
     T.StructField("Customer ID", T.DoubleType()),
     T.StructField("Country", T.StringType()),
@@ -38,7 +39,9 @@ RAW_SCHEMA = T.StructType([
 
 # Flat tables written by the cleaning job (snake_case names).
 RETURNS_SCHEMA = T.StructType([
-    T.StructField(RAW_COLUMNS[f.name], f.dataType) for f in RAW_SCHEMA.fields])
+    T.StructField(RAW_COLUMNS[f.name],
+                  T.DecimalType(10, 2) if f.name == "Price" else f.dataType)
+    for f in RAW_SCHEMA.fields])
 
 CLEAN_SCHEMA = T.StructType(RETURNS_SCHEMA.fields + [
     T.StructField("is_guest", T.BooleanType()),
@@ -80,6 +83,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
                        else F.col(f"`{c}`") for c in schema.fieldNames()])
 
 
+def malformed_values(spark: SparkSession, path: str,
+                     schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """``(column, malformed)``: values of each typed column that are neither missing nor
+    of its type.  :func:`read_csv` reads them as NULL; this report makes them visible."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    df = read_csv(spark, path, text)
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    counts = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull()
+                                 & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+                      .alias(f.name) for f in typed])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(RAW_COLUMNS.get(f.name, f.name)).alias("column"),
+                 F.col(f"`{f.name}`").alias("malformed")) for f in typed])).alias("x")) \
+        .select("x.column", "x.malformed")
+
+
 def read_raw_transactions(spark: SparkSession, path: str) -> DataFrame:
     """The raw export, renamed to snake_case."""
     return read_csv(spark, path, RAW_SCHEMA).withColumnsRenamed(RAW_COLUMNS)

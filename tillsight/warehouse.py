@@ -31,7 +31,6 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +89,7 @@ def materialize(r: Retail, name: str = "warehouse",
                 out["customers"] = _write(customers_from_totals(totals), f"{base}/customers")
             return out
 
-        rest = _parallel({
+        rest = _parallel(spark, {
             "totals": totals_then_customers,
             "items": lambda: _write(lines.select(*r.items.columns), f"{base}/items"),
         })
@@ -104,7 +103,7 @@ def materialize(r: Retail, name: str = "warehouse",
     }
     if customers_from_totals is None:
         jobs["customers"] = lambda: _write(r.customers, f"{base}/customers")
-    out = _parallel(jobs)
+    out = _parallel(spark, jobs)
     facts = out.pop("facts")
     customers = facts["customers"] if customers_from_totals is not None else out["customers"]
     return Retail(invoices=facts["invoices"], items=facts["items"], returns=out["returns"],
@@ -112,13 +111,13 @@ def materialize(r: Retail, name: str = "warehouse",
                   totals=facts["totals"], lines=facts["lines"])
 
 
-def _parallel(jobs: dict) -> dict:
+def _parallel(spark: SparkSession, jobs: dict) -> dict:
     """Run independent builds as concurrent Spark jobs (one driver thread each).
 
     The caller's job description (a thread-local Spark property) is carried into
     the worker threads, so their jobs stay attributed in logs."""
-    sc = SparkContext._active_spark_context
-    desc = sc.getLocalProperty("spark.job.description") if sc is not None else None
+    sc = spark.sparkContext
+    desc = sc.getLocalProperty("spark.job.description")
 
     def tagged(fn):
         def run():
@@ -160,13 +159,13 @@ def cleaned(spark: SparkSession, folder: str):
         # stored once so cleaning and the raw-level reports scan it like an export
         raw = _write(syn.raw_transactions(spark, folder), f"{base}/raw")
         c = run_cleaning(raw)
-        flat = _parallel({
+        flat = _parallel(spark, {
             "sales": lambda: _write(c.sales, f"{base}/clean_sales", ["year", "month"]),
             "returns": lambda: _write(c.returns, f"{base}/clean_returns"),
         })
         stored = Cleaned(c.raw, flat["sales"], flat["returns"])
         star = stored.star()
-        t = _parallel({
+        t = _parallel(spark, {
             "invoices": lambda: _write(star.invoices, f"{base}/invoices", ["year"]),
             "items": lambda: _write(star.items, f"{base}/invoice_items"),
             "returns": lambda: _write(star.returns, f"{base}/returns"),
