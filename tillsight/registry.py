@@ -134,14 +134,22 @@ def _parquet_roundtrip_clean(c) -> DataFrame:
     return roundtrip_parquet(c.sales, partition_by=["year", "month"])
 
 
-def _modal_name_per_brand(spark: SparkSession, folder: str) -> DataFrame:
-    """The modal-description operator over the part table: most frequent name per
-    brand, ties to the smallest name."""
-    from tillsight.operators.cleaning import modal_value
-    from tillsight.sources.tables import read_table
-    part = read_table(spark, folder, "part").select(
-        F.col("p_brand").alias("brand"), F.col("p_name").alias("description"))
-    return modal_value(part, "brand", "description")
+def _imputed(c) -> DataFrame:
+    """Valid sales lines with missing descriptions filled, and which ones were missing."""
+    from tillsight.operators import cleaning
+    valid = cleaning.filter_valid_lines(cleaning.filter_product_codes(
+        cleaning.split_sales_returns(c.raw)[0]))
+    marked = valid.withColumn("was_missing", F.col("description").isNull())
+    return cleaning.impute_description(marked).select(
+        "invoice_no", "stock_code", "quantity", "unit_price", "description", "was_missing")
+
+
+def _reassigned(c) -> DataFrame:
+    """Returns loaded beside a customer dimension that knows buyers only."""
+    from tillsight.plans import star
+    buyers = c.star().customers.filter("is_guest or first_purchase is not null")
+    return star.reassign_orphans(c.returns, buyers) \
+        .select("invoice_no", "stock_code", "customer_id", "reassigned")
 
 
 def _register_etl() -> None:
@@ -165,7 +173,7 @@ def _register_etl() -> None:
             cleaning.filter_product_codes(cleaning.split_sales_returns(c.raw)[0]))),
         "filter_country": _etl(lambda c: cleaning.filter_country(cleaning.filter_valid_lines(
             cleaning.filter_product_codes(cleaning.split_sales_returns(c.raw)[0])))),
-        "impute_description": _modal_name_per_brand,
+        "impute_description": _etl(_imputed),
         "guest_flag": _etl(lambda c: etl.guest_flag(c.sales)),
         "invoice_calendar": _etl(lambda c: etl.invoice_calendar(c.sales)),
         "cleaning_report": _etl(lambda c: cleaning.cleaning_report(c.raw, c.sales, c.returns)),
@@ -182,9 +190,7 @@ def _register_etl() -> None:
         "semi_join_items": _etl(lambda c: c.sales.join(
             c.star().invoices.select("invoice_no"), "invoice_no", "left_semi")
             .select("invoice_no", "stock_code", "quantity")),
-        "returns_reassign_orphans": _etl(lambda c: star.reassign_orphans(
-            c.returns, c.star().customers).select(
-                "invoice_no", "stock_code", "customer_id", "reassigned")),
+        "returns_reassign_orphans": _etl(_reassigned),
         "customer_orphans": _etl(lambda c: quality.customer_orphans(c.star().customers)),
         "load_row_counts": _etl(lambda c: star.row_counts(c.star())),
         "dq_not_null": _etl(lambda c: quality.dq_not_null(c.star())),

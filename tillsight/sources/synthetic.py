@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import MONEY, PRICE
 from tillsight.model import Retail
-from tillsight.params import GUEST_ID, GUEST_PRIORITY
+from tillsight.params import GUEST_ID, GUEST_PRIORITY, UNSPECIFIED_COUNTRY
 from tillsight.sources.tables import read_table
 
 
@@ -139,6 +139,11 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     Return lines (``l_returnflag = 'R'``) get a ``C`` invoice prefix and a
     negative quantity, as the export writes them; guests have no customer id
     (float id otherwise); the description is the part name.
+
+    The tables themselves break no cleaning rule, so key remainders put every
+    kind of bad line into the export: service, letter and missing codes, missing
+    and second descriptions, sales without invoice or with a negative quantity,
+    zero prices, unspecified and missing countries, and customers that only return.
     """
     ret = F.col("l_returnflag") == F.lit("R")
     o = read_table(spark, folder, "orders").select(
@@ -148,15 +153,29 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder).join(header, F.col("l_orderkey") == F.col("o_orderkey")) \
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     qty = F.col("l_quantity").cast("int")
+    order, part_key, customer = F.col("l_orderkey"), F.col("l_partkey"), F.col("o_custkey")
+    line = F.col("l_linenumber")
+    null = F.lit(None)
+    no_id = (F.col("o_orderpriority") == F.lit(GUEST_PRIORITY)) | (~ret & (customer % 23 == 3))
     return lines.select(
-        F.when(ret, F.concat(F.lit("C"), F.col("l_orderkey").cast("string")))
-        .otherwise(F.col("l_orderkey").cast("string")).alias("invoice_no"),
-        F.col("l_partkey").cast("string").alias("stock_code"),
-        F.col("p_name").alias("description"),
-        F.when(ret, -qty).otherwise(qty).alias("quantity"),
+        F.when(ret, F.concat(F.lit("C"), order.cast("string")))
+        .when(order % 83 == 9, null)
+        .otherwise(order.cast("string")).alias("invoice_no"),
+        F.when((order + line) % 89 == 0, null)
+        .when(part_key % 97 == 5, F.lit("POST"))
+        .when(part_key % 97 == 6, F.concat(F.lit("GIFT"), part_key.cast("string")))
+        .otherwise(part_key.cast("string")).alias("stock_code"),
+        F.when((order * 7 + line) % 13 == 0, null)
+        .when((order + line) % 5 == 1, F.concat("p_name", F.lit(" NEW")))
+        .otherwise(F.col("p_name")).alias("description"),
+        F.when(ret | ((order + line * 3) % 31 == 4), -qty).otherwise(qty).alias("quantity"),
         F.col("o_orderdate").alias("invoice_date"),
-        _unit_price(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
-        F.when(F.col("o_orderpriority") == F.lit(GUEST_PRIORITY), F.lit(None).cast("double"))
-        .otherwise(F.col("o_custkey").cast("double")).alias("customer_id"),
-        F.col("n_name").alias("country"),
+        F.when(((order + line * 5) % 37 == 6) | (part_key % 97 == 6), F.lit(0).cast(PRICE))
+        .otherwise(_unit_price(F.col("l_extendedprice"), F.col("l_quantity")))
+        .alias("unit_price"),
+        F.when(no_id, null.cast("double")).otherwise(customer.cast("double"))
+        .alias("customer_id"),
+        F.when(customer % 29 == 7, F.lit(UNSPECIFIED_COUNTRY))
+        .when(customer % 31 == 8, null)
+        .otherwise(F.col("n_name")).alias("country"),
     )
