@@ -41,3 +41,28 @@ def test_large_benchmark(spark):
     got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
     share = {k: len(p & got) / len(p) for k, p in plants.items()}
     assert min(share.values()) >= 0.9, share
+
+
+def test_every_repeated_run_of_lines(spark):
+    """All runs of two or more lines that stand before, against brute force."""
+    from tillsight.llm.line_dedup import drop_repeated_chunks
+    rng = random.Random(8)
+    line = lambda: " ".join(rng.choices("abcdefghijklmnop", k=6))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 2, 3, 3, 4, 5, 10, 20)]
+    docs = []
+    for i in range(120):
+        lines = [line() for _ in range(rng.randint(0, 6))] + rng.choice(passages)
+        docs.append((i, "\n".join(lines + [line() for _ in range(rng.randint(0, 6))])))
+    docs += [(200, "x y\nx y\nx y"), (201, "q\nx y\nx y"), (202, "q\n\n\nr\n\n")]
+    first, expected = {}, {}
+    for d, text in docs:
+        lines, drop = text.split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            at = first.setdefault(pair, (d, i))
+            if at < (d, i) and any(pair):
+                drop |= {i, i + 1}
+        expected[d] = "\n".join(x for i, x in enumerate(lines) if i not in drop)
+    found = drop_repeated_chunks(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r["doc_id"]: r["kept_text"] for r in found.collect()}
+    assert got == expected
+    assert sum(t != expected[d] for d, t in docs) > 100

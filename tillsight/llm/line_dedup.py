@@ -1,16 +1,24 @@
 """Line dedup over content-defined chunks of lines.
 
-A text is cut into runs of lines.  A rolling hash over the hashes of the last
-``SPAN`` lines ends a chunk where it is 0 modulo ``EVERY`` (at least ``SHORTEST``, at
-most ``LONGEST`` lines), so boundaries depend on nearby lines only and fall into step
-again after an insertion.  A chunk of two or more lines that occurs before, in the
-order of (id, position), is removed from the text, after its bytes were compared with
-the first occurrence.  Single lines and chunks without a word are never removed.
-
-Plan: chunk digests are counted with partial aggregation; only chunks whose digest
-recurs keep their bytes after one join on the digest; each is compared with its first
-occurrence (a join on the digest: hot chunks are split by AQE); texts are rebuilt in one
-join on the id.
+A text is cut into runs of lines at two scales.
+
+* Coarse: a rolling hash over the hashes of the last ``SPAN`` lines ends a chunk where it
+  is 0 modulo ``EVERY`` (at most ``LONGEST`` lines), so boundaries depend on the lines
+  themselves only and fall into step again after an insertion.
+* Fine: every line ends a chunk of ``SHORTEST`` lines, so one begins at every line.  Any
+  repeated run of two or more lines is covered by its fine chunks, wherever the coarse
+  boundaries fall.
+
+A chunk of two or more lines that occurs before, in the order of (id, position), is
+removed from the text, after its bytes were compared with the first occurrence; it may
+overlap that one (of three equal lines the first stays).  Single lines and chunks without a
+word are never removed.
+
+Plan: chunk digests are counted with partial aggregation; a fixed-size bit map of those
+that recur spares the next scan most other chunks (it never decides: a false hit is only
+carried along); chunks whose digest recurs keep their bytes after one join on the digest;
+each is compared with its first occurrence (a join on the digest: hot chunks are split by
+AQE); texts are rebuilt in one join on the id.
 
 Defined cases: null text has no lines and stays null; rows with equal ids are read as
 one document, so none of them loses lines to the other; an empty table gives no rows;
@@ -28,8 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import mix64, ship, stored
+from tillsight.llm.substring_dedup import BitMap
 
-SPAN, EVERY, SHORTEST, LONGEST = 2, 3, 2, 16
+SPAN, EVERY, SHORTEST, LONGEST = 1, 3, 2, 16
 
 
 def chunk_ends(lines: list[bytes]) -> list[int]:
@@ -41,8 +50,7 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     cut = mix64(rolling) % np.uint64(EVERY) == 0
     ends, start = [], 0
     for i in range(len(lines)):
-        held = i + 1 - start
-        if held == LONGEST or held >= SHORTEST and cut[i]:
+        if i + 1 - start == LONGEST or cut[i]:
             ends.append(i + 1)
             start = i + 1
     if start < len(lines):
@@ -51,17 +59,19 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
 
 
 def chunks(text: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(first line, lines, bytes) of each removable chunk."""
+    """(first line, lines, bytes) of each removable chunk, coarse ones first."""
     lines = text.split(b"\n")
-    start = 0
-    for end in chunk_ends(lines):
+    ends = chunk_ends(lines)
+    coarse = [(a, b) for a, b in zip([0, *ends], ends, strict=False) if b - a > SHORTEST]
+    fine = [(a, a + SHORTEST) for a in range(len(lines) - SHORTEST + 1)]
+    for start, end in coarse + fine:
         body = b"\n".join(lines[start:end])
-        if end - start > 1 and body.split(None, 1):
+        if body.split(None, 1):
             yield start, end - start, body
-        start = end
 
 
-def _chunk_rows(with_bytes: bool):
+def _chunk_rows(recurring=None):
+    """Digests of all chunks, or digests and bytes of those in the bit map."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -69,11 +79,15 @@ def _chunk_rows(with_bytes: bool):
                 ids, rows = part.column(0).to_pylist(), []
                 for doc, text in zip(ids, part.column(1).to_pylist(), strict=True):
                     rows += [(doc, s, n, b) for s, n, b in chunks(text or b"")]
-                out = {"h": pa.array([xxhash.xxh64_intdigest(r[3]) - (1 << 63) for r in rows],
-                                     pa.int64()),
+                h = np.fromiter((xxhash.xxh64_intdigest(r[3]) for r in rows), np.uint64,
+                                len(rows))
+                if recurring is not None:
+                    at = np.flatnonzero(recurring.value.has(h))
+                    h, rows = h[at], [rows[i] for i in at.tolist()]
+                out = {"h": pa.array(h.view(np.int64)),
                        "id": pa.array([r[0] for r in rows], pa.int64()),
                        "first": pa.array([r[1] for r in rows], pa.int32())}
-                if with_bytes:
+                if recurring is not None:
                     out |= {"n": pa.array([r[2] for r in rows], pa.int32()),
                             "body": pa.array([r[3] for r in rows], pa.binary())}
                 yield pa.record_batch(out)
@@ -100,11 +114,13 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_chunks(texts: DataFrame) -> DataFrame:
     """(id, first, n) of every chunk that occurs before; ``texts``: id, text (binary)."""
-    seen = texts.mapInArrow(_chunk_rows(False), "h long, id long, first int")
-    recur = seen.groupBy("h").agg(
+    seen = texts.mapInArrow(_chunk_rows(), "h long, id long, first int")
+    recur = stored(seen.groupBy("h").agg(
         F.min(F.struct("id", "first")).alias("at"), F.count(F.lit(1)).alias("times")) \
-        .filter("times > 1").select("h", "at")
-    bodies = texts.mapInArrow(_chunk_rows(True), "h long, id long, first int, n int, body binary")
+        .filter("times > 1").select("h", "at"), "recurring-digests")
+    shared = texts.sparkSession.sparkContext.broadcast(BitMap(recur, "h"))
+    bodies = texts.mapInArrow(_chunk_rows(shared),
+                              "h long, id long, first int, n int, body binary")
     rows = stored(bodies.join(recur, "h").withColumn(
         "is_first", F.struct("id", "first").eqNullSafe(F.col("at"))), "repeated-chunks")
     firsts = rows.filter("is_first").groupBy("h").agg(F.min("body").alias("first_body"))
