@@ -66,3 +66,22 @@ def test_every_repeated_run_of_lines(spark):
     got = {r["doc_id"]: r["kept_text"] for r in found.collect()}
     assert got == expected
     assert sum(t != expected[d] for d, t in docs) > 100
+
+
+def test_copies_of_a_hot_window_are_merged(spark, monkeypatch):
+    """No index task gets equal windows of a passage with different surroundings."""
+    from tillsight.llm import substring_dedup as m
+    real = m.search_shard
+
+    def strict(table):
+        words = table["words"].to_pylist()
+        assert len(set(words)) == len(words)
+        return real(table)
+
+    monkeypatch.setattr(m, "search_shard", strict)
+    monkeypatch.setattr(m, "HOT", 100)
+    shared = " ".join(f"w{i}" for i in range(40))
+    docs = [(i, f"a{i} b{i} {shared} c{i} d{i}") for i in range(300)]
+    found = m.drop_repeated_windows(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r["doc_id"]: r["kept_text"] for r in found.collect()}
+    assert got == dict(docs[:1]) | {i: f"a{i} b{i} c{i} d{i}" for i in range(1, 300)}

@@ -17,8 +17,10 @@ fingerprint form a run (13 to 20 words).
 3. Sequences that share a fingerprint, but differ, go to the FM-index of their shard
    (wavelet matrix over the BWT, :mod:`tillsight.llm.fm_index`), which streams them by
    backward search and reports, per window, the smallest document it occurs in.  The
-   number of shards follows the volume; a fingerprint with more than ``HOT`` words is cut
-   into single windows, sharded by their own hash.
+   number of shards follows the volume.  A fingerprint with more than ``HOT`` words is cut
+   into single windows instead: equal ones are merged to their smallest document by partial
+   counts per task, and that is joined back (an index of distinct windows of ``SPAN`` words
+   finds no others), so copies never meet in one task.
 4. The windows found are merged per document and applied to its text.  Only texts in a
    bit map of affected ids are shuffled.
 
@@ -165,26 +167,29 @@ def _run_words(shared):
 
 
 def _to_shards(shards: int):
-    """Rows of one sequence each; hot fingerprints are cut into their windows."""
+    """Sequences with the shard of their fingerprint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = batch.column("f").to_numpy().view(np.uint64)
-            rows = []
-            for i, (hot, words) in enumerate(zip(batch.column("hot").to_pylist(),
-                                                 batch.column("words").to_pylist(), strict=True)):
-                if not hot:
-                    rows.append((i, 0, words, int(mix64(f[i:i + 1])[0]) % shards))
-                    continue
-                w = np.frombuffer(words, "<u4").astype(np.uint64)
-                place = mix64(ngram_hashes(w, SPAN) + f[i]) % np.uint64(shards)
-                rows += [(i, k, words[4 * k:4 * (k + SPAN)], int(p)) for k, p in enumerate(place)]
+            yield pa.record_batch({
+                "shard": pa.array((mix64(f) % np.uint64(shards)).astype(np.int32)),
+                **{c: batch.column(c) for c in ("f", "seq", "id", "words")}})
+    return run
+
+
+def _to_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per window of each sequence."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            rows = [(i, k, w[4 * k:4 * (k + SPAN)])
+                    for i, w in enumerate(part.column("words").to_pylist())
+                    for k in range(len(w) // 4 - SPAN + 1)]
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.record_batch({
-                "shard": pa.array([r[3] for r in rows], pa.int32()),
-                **{c: batch.column(c).take(take) for c in ("f", "seq", "id")},
-                "first": pa.array([r[1] for r in rows], pa.int32()),
+                **{c: part.column(c).take(take) for c in ("f", "seq", "id")},
+                "offset": pa.array([r[1] for r in rows], pa.int32()),
                 "words": pa.array([r[2] for r in rows], pa.binary())})
-    return run
 
 
 def search_shard(table: pa.Table) -> pa.Table:
@@ -205,7 +210,7 @@ def search_shard(table: pa.Table) -> pa.Table:
     take = pa.array(row[at])
     return pa.table({
         "f": table["f"].take(take), "seq": table["seq"].take(take),
-        "offset": pa.array((table["first"].to_numpy()[row[at]] + offset[at]).astype(np.int32)),
+        "offset": pa.array(offset[at].astype(np.int32)),
         "windows": pa.array(np.diff(np.append(at, len(row))).astype(np.int32))})
 
 
@@ -232,15 +237,19 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         F.sum(F.col("windows") + SPAN - 1).alias("volume")).filter("n > 1 and a < b")
     unclear = stored(sequences.join(mixed.select("f", (F.col("volume") > HOT).alias("hot"),
                                                  "volume"), "f"), "unclear")
-    volume = unclear.agg(F.sum(F.when(F.col("hot"), F.col("windows") * SPAN)
-                               .otherwise(F.col("windows") + SPAN - 1))).first()[0] or 0
+    volume = unclear.filter("not hot").agg(F.sum(F.col("windows") + SPAN - 1)).first()[0] or 0
     shards = max(1, -(-int(volume) // SHARD_WORDS))
     wanted = BitMap(unclear, "own")
     words = texts.mapInArrow(_run_words(share(wanted)), "own long, words binary")
     found = unclear.select("own", "f", "seq", F.col("lo").alias("id"), "hot").join(words, "own")
-    matches = found.mapInArrow(
-        _to_shards(shards), "shard int, f long, seq long, id long, first int, words binary") \
+    matches = found.filter("not hot").mapInArrow(
+        _to_shards(shards), "shard int, f long, seq long, id long, words binary") \
         .groupBy("shard").applyInArrow(search_shard, "f long, seq long, offset int, windows int")
+    single = stored(found.filter("hot").mapInArrow(
+        _to_windows, "f long, seq long, id long, offset int, words binary"), "hot-windows")
+    least = single.groupBy("f", "words").agg(F.min("id").alias("least"))
+    matches = matches.union(single.join(least, ["f", "words"]).filter("least < id")
+                            .select("f", "seq", "offset", F.lit(1).alias("windows")))
     inside = of_run.filter("id = lo").select("f", "seq", "id", "start").join(
         stored(matches, "matches"), ["f", "seq"]) \
         .select("id", (F.col("start") + F.col("offset")).alias("start"), "windows")
