@@ -14,8 +14,11 @@ from tillsight.llm import (
     lm_score,
     mixing,
     near_dedup,
+    prefix_trie,
     quality_rules,
     sharding,
+    simhash,
+    spelling,
     substring_dedup,
     warc,
 )
@@ -91,3 +94,18 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, folder, "documents"),
                                       read_table(spark, folder, "benchmark"))
+
+
+@query
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_groups(read_table(spark, folder, "documents"))
+
+
+@query
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(read_table(spark, folder, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, folder, "conversations"))
