@@ -46,6 +46,8 @@ from tillsight.llm.common import ship, stored
 
 BLOCK = 16_384
 BLOCK_BYTES = 8 << 20
+#: Candidates searched at once.
+SLICE = 1 << 17
 #: Bytes of a turn's digest (128 bits of SHA-256 over its role and text).
 DIGEST = 16
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -140,45 +142,47 @@ def _common(a: bytes, b: bytes) -> int:
     return (int(apart[0]) if len(apart) else n) // DIGEST
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-    part, seq = TaskContext.get().partitionId(), 0
-    convs, lens, lcps, sizes, first, last, held = [], [], [], [], b"", b"", 0
+def _cut(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, seq = TaskContext.get().partitionId(), 0
+        convs, lens, lcps, sizes, first, last, held = [], [], [], [], b"", b"", 0
+
+        def block() -> pa.RecordBatch:
+            return pa.record_batch({
+                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
+                "convs": pa.array([convs], pa.list_(pa.int64())),
+                "lens": pa.array([lens], pa.list_(pa.int32())),
+                "lcps": pa.array([lcps], pa.list_(pa.int32())),
+                "bytes": pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
+                "first": pa.array([first], pa.binary()), "last": pa.array([last], pa.binary())})
 
-    def block() -> pa.RecordBatch:
-        return pa.record_batch({
-            "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-            "convs": pa.array([convs], pa.list_(pa.int64())),
-            "lens": pa.array([lens], pa.list_(pa.int32())),
-            "lcps": pa.array([lcps], pa.list_(pa.int32())),
-            "bytes": pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
-            "first": pa.array([first], pa.binary()), "last": pa.array([last], pa.binary())})
+        for batch in batches:
+            for conv, key, size in zip(*batch.columns):
+                key = key.as_py()
+                if convs and (len(convs) >= rows or held >= BLOCK_BYTES):
+                    yield block()
+                    convs, lens, lcps, sizes, held, seq = [], [], [], [], 0, seq + 1
+                if not convs:
+                    first = key
+                # the first lcp of a block is known when blocks are in order
+                lcps.append(_common(last, key) if convs else 0)
+                convs.append(conv.as_py())
+                lens.append(len(key) // DIGEST)
+                sizes.append(size.values.to_numpy(zero_copy_only=False))
+                last, held = key, held + len(key)
+        if convs:
+            yield block()
+    return run
 
-    for batch in batches:
-        for conv, key, size in zip(*batch.columns):
-            key = key.as_py()
-            if convs and (len(convs) >= BLOCK or held >= BLOCK_BYTES):
-                yield block()
-                convs, lens, lcps, sizes, held, seq = [], [], [], [], 0, seq + 1
-            if not convs:
-                first = key
-            # the first lcp of a block is known when blocks are in order
-            lcps.append(_common(last, key) if convs else 0)
-            convs.append(conv.as_py())
-            lens.append(len(key) // DIGEST)
-            sizes.append(size.values.to_numpy(zero_copy_only=False))
-            last, held = key, held + len(key)
-    if convs:
-        yield block()
-
-
-def sorted_blocks(seqs: DataFrame) -> DataFrame:
+
+def sorted_blocks(seqs: DataFrame, rows: int = BLOCK) -> DataFrame:
     """Conversations sorted by (digests, conv_id), a row a block."""
     keyed = seqs.select(
         "conv_id", F.unhex(F.array_join(F.transform("turns", lambda t: t["digest"]), ""))
         .alias("key"), F.transform("turns", lambda t: t["bytes"]).alias("bytes"))
     return keyed.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id") \
-        .mapInArrow(_cut, _BLOCKS)
+        .mapInArrow(_cut(rows), _BLOCKS)
 
 
 @dataclass(frozen=True)
@@ -326,7 +330,8 @@ def _block_nodes(at: int, b: Block, level: Blocks, over_lcp: RangeMin,
     fresh = b.lens - b.lcps
     # a slice of rows at a time bounds the candidates held
     ends = np.cumsum(fresh)
-    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 17), "right"), b.n))
+    cuts = np.searchsorted(ends, np.arange(0, ends[-1], SLICE), "right")
+    cuts = np.unique(np.append(cuts, b.n))
     for a, z in zip(np.append(0, cuts[:-1]), cuts):
         rows = np.repeat(np.arange(a, z), fresh[a:z])
         if not len(rows):
@@ -463,13 +468,14 @@ def run_digests(blocks: DataFrame, level: Blocks) -> DataFrame:
         .mapInArrow(_stream, "run long, run_sha256 string")
 
 
-def trie(seqs: DataFrame) -> DataFrame:
-    """Every node of the prefix trie of ``seqs`` (conv_id, turns)."""
+def trie(seqs: DataFrame, rows: int = BLOCK) -> DataFrame:
+    """Every node of the prefix trie of ``seqs`` (conv_id, turns); ``rows`` bounds a block."""
     ship(seqs.sparkSession)
-    blocks = stored(sorted_blocks(seqs), "trie-blocks")
+    blocks = stored(sorted_blocks(seqs, rows), "trie-blocks")
     # one row a block: small numbers only
     order = Window.orderBy("part", "seq")
-    named = blocks.select("part", "seq").withColumn("at", (F.row_number().over(order) - 1).cast("long"))
+    named = blocks.select("part", "seq") \
+        .withColumn("at", (F.row_number().over(order) - 1).cast("long"))
     blocks = stored(blocks.join(named, ["part", "seq"]).drop("part", "seq"), "trie-ordered")
     level = second_level(blocks)
     nodes = stored(blocks.mapInArrow(_extents(level), _sql(_NODE)), "trie-nodes")

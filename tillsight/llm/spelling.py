@@ -12,10 +12,14 @@ into the other.  The signatures of the two sides of the join differ:
 
 A short chunk alone is shared by many words, so the principle is applied again inside the
 touched chunk: of its two halves one also stays whole.  A signature is therefore a chunk
-with a half of the other chunk, each with its place, and groups stay small:
-:func:`chunk_side` gives four a word, :func:`gram_side` four for each length.  Words that
-meet are verified by their edit distance.  Signatures are compared by equality and no
-group is collected; words of any length take part.
+with a half of the other chunk, each with its place: the word without one of four pieces
+(:func:`chunk_side`; :func:`gram_side` for each length).  Signatures are compared by equality,
+and words that meet are verified by their edit distance.
+
+Signatures that more than ``LARGE`` words contribute as grams are not joined: their words
+are signed anew with pieces a fourth as long, and so on down to single code points, where
+what meets differs in that point alone.  Every pair is met at one of these levels, so
+this is exact; no group is collected, and words of any length take part.
 
 ``form`` is the near word with the largest count (ties: smallest in code-point order),
 if it is at least ``ratio`` times as frequent as the word.  Counts at least double from a word
@@ -43,6 +47,8 @@ from tillsight.llm.common import ship, stored
 RUN = re.compile("[a-zÀ-ÿ]+")
 #: Runs whose hash this number divides lose a code point.
 SLIP = 97
+#: Words of a signature up to which they are compared.
+LARGE = 100
 _FLUSH = 200_000
 
 
@@ -92,45 +98,61 @@ def word_counts(df: DataFrame, shortest: int = 5, least: int = 3, id_col: str =
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _signatures(word: Column, length: Column, shift: Column) -> Column:
-    """Signatures of ``word`` for a chunk-side word of ``length`` code points.
-
-    Chunks and halves of such a word lie between the cuts 0, c1, c2, c3, length.  Signature k
-    leaves out piece k: what is left of it stands at its own place, what is right of it
-    is ``shift`` further on."""
-    half = F.floor(length / 2)
-    cuts = [F.lit(0), F.floor(half / 2), half, half + F.floor((length - half) / 2), length]
-    cuts = [c.cast("int") for c in cuts]
+def _signatures(word: Column, length: Column, shift: Column, pieces: int) -> Column:
+    """Signatures of ``word`` for a chunk-side word of ``length`` code points, which is cut into
+    ``pieces`` pieces.  Signature k leaves out piece k: what is left of it stands at its own
+    place, what is right of it is ``shift`` further on."""
+    cuts = [F.floor(length * k / pieces).cast("int") for k in range(pieces + 1)]
 
-    def piece(a: Column, b: Column) -> Column:
+    def part(a: Column, b: Column) -> Column:
         return F.substring(word, a + 1, b - a)
     return F.array(*[F.struct(
         F.lit(k).alias("left_out"), length.cast("int").alias("length"),
-        piece(F.lit(0), cuts[k]).alias("before"),
-        piece(cuts[k + 1] + shift, length + shift).alias("after")) for k in range(4)])
+        part(F.lit(0), cuts[k]).alias("before"),
+        part(cuts[k + 1] + shift, length + shift).alias("after")) for k in range(pieces)])
 
 
-def chunk_side(words: DataFrame) -> DataFrame:
+def chunk_side(words: DataFrame, pieces: int = 4) -> DataFrame:
     """(sig, word, n): each of two chunks with either half of the other one."""
-    sigs = _signatures(F.col("word"), F.length("word"), F.lit(0))
+    sigs = _signatures(F.col("word"), F.length("word"), F.lit(0), pieces)
     return words.select(F.explode(sigs).alias("sig"), "word", "n")
 
 
-def gram_side(words: DataFrame) -> DataFrame:
+def gram_side(words: DataFrame, pieces: int = 4) -> DataFrame:
     """(sig, near, near_n): the grams a chunk-side word that is one code point shorter,
     as long or one longer would share."""
     lengths = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     rows = words.select("word", "n", lengths.alias("shift"))
-    sigs = _signatures(F.col("word"), F.length("word") - F.col("shift"), F.col("shift"))
+    sigs = _signatures(F.col("word"), F.length("word") - F.col("shift"), F.col("shift"), pieces)
     return rows.select(F.explode(sigs).alias("sig"), F.col("word").alias("near"),
                        F.col("n").alias("near_n"))
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
     """(word, n, near, near_n) of all ordered pairs at edit distance one."""
-    met = chunk_side(words).join(gram_side(words), "sig").filter(
-        (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
-    return met.select("word", "n", "near", "near_n").distinct()
+    longest = words.agg(F.max(F.length("word"))).first()[0] or 0
+    left = right = words
+    pieces, found = 4, None
+    while True:
+        chunks, grams = chunk_side(left, pieces), gram_side(right, pieces)
+        # pieces of one code point: what meets here are near words, nearly all
+        crowded = None if pieces > longest else stored(
+            grams.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
+            .filter(F.col("held") > large).join(chunks.select("sig").distinct(), "sig")
+            .select("sig"), "spelling-crowded")
+        more = crowded is not None and not crowded.isEmpty()
+        met = grams.join(crowded, "sig", "left_anti") if more else grams
+        met = chunks.join(met, "sig").filter(
+            (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)) \
+            .select("word", "n", "near", "near_n").distinct()
+        found = met if found is None else found.union(met)
+        if not more:
+            return found if pieces == 4 else found.distinct()
+        left = stored(chunks.join(crowded, "sig", "left_semi").select("word", "n").distinct(),
+                      "spelling-left")
+        right = stored(grams.join(crowded, "sig", "left_semi").select(
+            F.col("near").alias("word"), F.col("near_n").alias("n")).distinct(), "spelling-right")
+        pieces *= 4
 
 
 def spelling_forms(words: DataFrame, ratio: int = 2) -> DataFrame:
