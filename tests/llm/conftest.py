@@ -36,6 +36,11 @@ def write_tables(session, folder, rows):
          (1, None, None), (2, "http://b/", ""), (2, "http://b/", ""), (None, "u", "<p")]
         if rows else [], "page_id long, url string, html string") \
         .write.parquet(f"{folder}/pages.parquet")
+    session.createDataFrame(
+        [(0, 0, "user", "a"), (0, None, None, None), (1, 0, "user", "a"), (None, 1, "user", "b"),
+         (1, 0, "user", "a"), (5, 2, "user", ""), (8, 1, "bot", "x"), (9, 1, "bot", "x")]
+        if rows else [], "conv_id long, turn long, role string, text string") \
+        .write.parquet(f"{folder}/conversations.parquet")
     return str(folder)
 
 

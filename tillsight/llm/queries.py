@@ -22,10 +22,10 @@ from tillsight.llm import (
     substring_dedup,
     warc,
 )
+from tillsight.llm.oracle import SQL  # noqa: F401
 from tillsight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(fn):

@@ -131,7 +131,9 @@ def gram_side(words: DataFrame, pieces: int = 4) -> DataFrame:
 def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
     """(word, n, near, near_n) of all ordered pairs at edit distance one."""
     longest = words.agg(F.max(F.length("word"))).first()[0] or 0
-    left = right = words
+    # a word's row is small, but becomes dozens: dealt to as many tasks as a shuffle has
+    dealt = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = right = words.repartition(dealt, "word")
     pieces, found = 4, None
     while True:
         chunks, grams = chunk_side(left, pieces), gram_side(right, pieces)
@@ -149,9 +151,10 @@ def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
         if not more:
             return found if pieces == 4 else found.distinct()
         left = stored(chunks.join(crowded, "sig", "left_semi").select("word", "n").distinct(),
-                      "spelling-left")
+                      "spelling-left").repartition(dealt, "word")
         right = stored(grams.join(crowded, "sig", "left_semi").select(
-            F.col("near").alias("word"), F.col("near_n").alias("n")).distinct(), "spelling-right")
+            F.col("near").alias("word"), F.col("near_n").alias("n")).distinct(),
+            "spelling-right").repartition(dealt, "word")
         pieces *= 4
 
 
