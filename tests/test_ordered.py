@@ -66,16 +66,74 @@ def test_top_k_keeps_ties(spark):
     assert got == {(0, 1), (1, 1), (2, 3), (3, 3), (4, 3)}
 
 
-def test_only_the_partition_summary_is_gathered(spark, lines):
-    """Data rows never meet in one partition: the only single-partition exchange
-    carries the per-range-partition summary (one row per partition)."""
+def _jobs_of(spark, build):
+    """Spark jobs that ``build`` runs."""
+    sc = spark.sparkContext
+    group = f"plan-{id(build)}"
+    sc.setJobGroup(group, "plan")
+    try:
+        build()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_planning_runs_no_job(spark, lines):
+    order = [("q", False), ("l_orderkey", True), ("l_linenumber", True)]
+    assert _jobs_of(spark, lines.count) > 0
+    assert _jobs_of(spark, lambda: with_row_numbers(lines, order, "rn", {"run": "p"})) == 0
+    assert _jobs_of(spark, lambda: with_rank(lines, "q", range_sums={"cum": "p"})) == 0
+    assert _jobs_of(spark, lambda: with_ntile(lines, order, 5, "t")) == 0
+    assert _jobs_of(spark, lambda: top_k_with_ties(lines, "p", 5)) == 0
+
+
+def test_every_mart_and_view_is_lazy(spark):
+    from tillsight.jobs import marts
+    from tillsight.plans.views import register_views
+    from tillsight.sources.synthetic import load
+    r = load(spark, SF_MID)
+    assert _jobs_of(spark, lambda: register_views(r)) == 0
+    assert _jobs_of(spark, lambda: marts(r)) == 0
+    assert spark.sql("select count(*) n from vw_customer_rfm").first()["n"] > 0
+    assert spark.sql("select max(revenue_rank) n from vw_top_products").first()["n"] > 0
+
+
+def test_data_rows_never_meet_in_one_partition(spark, lines):
+    """Single-partition exchanges carry the bounded sample or one row per bucket."""
     order = [("q", False), ("l_orderkey", True), ("l_linenumber", True)]
     plan = with_row_numbers(lines, order, "rn")._jdf.queryExecution().executedPlan().toString()
     rows = plan.splitlines()
     gathered = [i for i, line in enumerate(rows) if "Exchange SinglePartition" in line]
-    assert gathered
     for i in gathered:
-        assert "HashAggregate(keys=[__pid" in rows[i + 1], rows[i + 1]
+        assert any(op in rows[i + 1] for op in
+                   ("Aggregate", "TakeOrderedAndProject", "Window", "Sort")), rows[i + 1]
+    assert "__b" in plan and "TakeOrderedAndProject(limit=" in plan
+
+
+@pytest.mark.parametrize("parts", [1, 2, 9, 30])
+def test_mixed_directions_nulls_and_texts(spark, parts):
+    """Boundaries are whole sort keys of any type; nulls stand where Spark puts them."""
+    rows = [(i, None if i % 7 == 0 else float(i % 5) if i % 11 else float("nan"),
+             None if i % 6 == 1 else "xyzé"[i % 4] * (i % 3), i * i % 17) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double, s string, w int")
+    order = [("v", False), ("s", True), ("w", False), ("id", True)]
+    w = Window.orderBy(F.col("v").desc(), F.col("s").asc(), F.col("w").desc(), "id")
+    ref = df.select("id", F.row_number().over(w).alias("rn"),
+                    F.sum("w").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    mine = with_row_numbers(df, order, "rn", {"run": "w"}, "n", parts)
+    _same(mine.select("id", F.col("rn").cast("int"), "run"), ref)
+    assert mine.select("n").distinct().collect()[0][0] == 300
+    assert with_row_numbers(df.filter("false"), order, "rn").count() == 0
+
+
+def test_a_hot_value_is_split(spark):
+    """A third of all rows under one sort value still spreads over buckets."""
+    from tillsight.operators.ordered import _with_buckets
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 7)
+                                    .otherwise(F.col("id")).alias("v"))
+    order = [("v", True), ("id", True)]
+    sizes = _with_buckets(df, {"b": order}, 5).groupBy("b").count().collect()
+    assert len(sizes) == 25 and max(r["count"] for r in sizes) < 2 * 30_000 / 25
 
 
 def test_sample_fixed_n_is_exact_and_layout_independent(spark, lines):
@@ -105,15 +163,3 @@ def test_rank_ntile_property(spark, values, parts):
     mine = with_ntile(mine, [("v", True), ("id", True)], 3, "t", partitions=parts)
     cols = ["id", "rk", F.col("cum").cast("long"), "t"]
     _same(mine.select(*cols), ref.select(*cols))
-
-
-def test_row_numbers_alone_do_not_shuffle_again(spark, lines):
-    """Without running sums the numbering reads the checkpoint in place."""
-    order = [("q", False), ("l_orderkey", True), ("l_linenumber", True)]
-    plan = with_row_numbers(lines, order, "rn")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(__pid" not in plan.split("Subquery")[0].split("+- BroadcastExchange")[0]
-    ref = lines.withColumn("rn", F.row_number().over(
-        Window.orderBy(F.col("q").desc(), "l_orderkey", "l_linenumber")).cast("long"))
-    mine = with_row_numbers(lines, order, "rn", partitions=9)
-    _same(mine.select("l_orderkey", "l_linenumber", "rn"),
-          ref.select("l_orderkey", "l_linenumber", "rn"))

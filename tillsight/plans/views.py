@@ -18,7 +18,7 @@ from tillsight import params as P
 from tillsight.functions.labels import customer_label, period_label
 from tillsight.functions.numeric import as_double, ddiv, dround, pct
 from tillsight.model import Retail
-from tillsight.operators.ordered import top_k_with_ties, with_ntile, with_rank
+from tillsight.operators.ordered import top_k_with_ties, with_ntiles, with_rank
 
 
 # -- monthly -------------------------------------------------------------------------
@@ -116,9 +116,10 @@ def rfm_scored(r: Retail, reference_date: str = P.RFM_REFERENCE_DATE) -> DataFra
         return r.rfm
     base = rfm_base(r, reference_date)
     # ties inside one metric are broken by customer_id, so the scores are deterministic
-    scored = with_ntile(base, [("recency_days", False), ("customer_id", True)], 5, "r_score")
-    scored = with_ntile(scored, [("frequency", True), ("customer_id", True)], 5, "f_score")
-    scored = with_ntile(scored, [("monetary_dec", True), ("customer_id", True)], 5, "m_score")
+    scored = with_ntiles(base, {
+        "r_score": ([("recency_days", False), ("customer_id", True)], 5),
+        "f_score": ([("frequency", True), ("customer_id", True)], 5),
+        "m_score": ([("monetary_dec", True), ("customer_id", True)], 5)})
     rs, fs, ms = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "customer_id", "country", "recency_days", "frequency",
