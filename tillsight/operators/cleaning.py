@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from tillsight import params as P
 from tillsight.functions.numeric import MONEY, PRICE
+from tillsight.operators.distinct import distinct_bitmaps, merged_counts
+from tillsight.operators.grouped import grouped_mode
 
 
 def is_return(df: DataFrame) -> F.Column:
@@ -43,13 +45,8 @@ def filter_valid_lines(sales: DataFrame) -> DataFrame:
 
 
 def modal_value(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
-    """Most frequent non-null ``value`` per ``key`` (ties → smallest value).
-
-    ``mode`` keeps a value → count map per group and merges partial maps, so a
-    hot key costs its number of distinct values, not its number of rows.
-    """
-    return df.filter(F.col(value).isNotNull()).groupBy(key).agg(
-        F.mode(value, deterministic=True).alias(out or value))
+    """Most frequent non-null ``value`` per ``key`` (ties → smallest value)."""
+    return grouped_mode(df, key, value, out)
 
 
 def impute_description(sales: DataFrame) -> DataFrame:
@@ -97,15 +94,20 @@ def clean(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cleaning_report(raw: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:
-    """Rows kept / returned / dropped, distinct customers, products, invoices, revenue."""
+    """Rows kept / returned / dropped, distinct customers, products, invoices, revenue.
+    The distinct counts are merged from one set of bitmaps a month."""
     n_raw = raw.agg(F.count(F.lit(1))).scalar()
     n_ret = returns.agg(F.count(F.lit(1))).scalar()
+    names = {"customer_id": "customers", "stock_code": "products", "invoice_no": "invoices"}
+    keys = merged_counts(distinct_bitmaps(sales, list(names), ["year", "month"]))
+    # one row, also without sales; ``keys`` has one row per column
+    distinct = keys.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("n"))), F.lit(0))
+                          .alias(out) for c, out in names.items()]) \
+        .select(F.struct(*names.values())).scalar()
     agg = sales.agg(
         F.count(F.lit(1)).alias("clean_rows"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("stock_code").alias("products"),
-        F.count_distinct("invoice_no").alias("invoices"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).alias("rev"))
+        F.coalesce(F.sum("revenue"), F.lit(0)).alias("rev")) \
+        .withColumns({out: distinct[out] for out in names.values()})
     return agg.select(
         n_raw.alias("raw_rows"), "clean_rows", n_ret.alias("return_rows"),
         (n_raw - F.col("clean_rows")).alias("dropped_rows"),

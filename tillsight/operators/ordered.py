@@ -104,6 +104,12 @@ def _with_buckets(df: DataFrame, orders: dict[str, Order], side: int) -> DataFra
     return df.select(*cols, *found)
 
 
+def bucketed(df: DataFrame, orders: dict[str, Order], partitions: int | None = None) -> DataFrame:
+    """``df`` with the bucket of each order (name → order), about ``partitions`` of them.  Buckets
+    follow the order and hold similar numbers of rows if it is total."""
+    return _with_buckets(df, orders, _side(df, partitions))
+
+
 def _offsets(df: DataFrame, names: Sequence[str], sums: Sequence[str] = ()) -> Column:
     """Scalar subquery: per bucket column in ``names`` a map from bucket to struct(rows,
     total, s0, s1, …) of what stands before it; ``total`` counts all rows."""

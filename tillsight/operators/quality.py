@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import dround, pct
 from tillsight.model import Retail
-from tillsight.operators.ordered import with_row_numbers
+from tillsight.operators.selection import exact_percentiles
 
 # NOT NULL columns of each star table
 NOT_NULL = {
@@ -110,40 +110,12 @@ def dq_profile(raw: DataFrame) -> DataFrame:
              "no_customer", pct("no_customer", "rows", 1).alias("no_customer_pct"))
 
 
-def exact_percentiles(long: DataFrame, probs: list[float]) -> DataFrame:
-    """Exact linear-interpolation percentiles (as ``numpy.percentile``) per column.
-
-    ``long`` has columns ``column`` and ``v`` (double).  Values are counted per
-    (column, value) — partial aggregation — and numbered in one global order with
-    running counts across partitions; each requested position is then located
-    by one grouped aggregate.  No group or task holds a whole column.
-    """
-    per_value = long.filter(F.col("v").isNotNull()).groupBy("column", "v") \
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    numbered = with_row_numbers(per_value, [("column", True), ("v", True)],
-                                row_number="__i", running_sums={"cum": "cnt"})
-    # one row per input column: bounded by the column list
-    stats = numbered.groupBy("column").agg(
-        F.min(F.col("cum") - F.col("cnt")).alias("start"), F.sum("cnt").alias("n"))
-    local = numbered.join(F.broadcast(stats), "column") \
-        .withColumn("pos", F.col("cum") - F.col("start"))
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        aggs += [F.min(F.when(F.col("pos") > F.floor(h), F.col("v"))).alias(f"lo{i}"),
-                 F.min(F.when(F.col("pos") > F.ceil(h), F.col("v"))).alias(f"hi{i}"),
-                 F.first(h - F.floor(h)).alias(f"fr{i}")]
-    found = local.groupBy("column").agg(*aggs)
-    return found.select("column", *[
-        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}"))
-        .alias(f"p{i}") for i in range(len(probs))])
-
-
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per column (one row each).
 
     The columns are unpivoted into one long table (a single scan); sums stay
-    exact decimals, the spread is computed on doubles."""
+    exact decimals, the spread is computed on doubles.  Percentiles are exact, by
+    :func:`tillsight.operators.selection.exact_percentiles`."""
     long = df.select(*[F.col(c).cast("decimal(38,6)").alias(c) for c in columns]) \
         .unpivot([], columns, "column", "x") \
         .select("column", "x", F.col("x").cast("double").alias("v"))
@@ -153,8 +125,15 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
         F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"))
-    q = exact_percentiles(long.select("column", "v"), [0.25, 0.5, 0.75])
-    return moments.join(q, "column", "left").select(
+    # one row per column
+    rows = moments.collect()
+    q = exact_percentiles(long.select("column", "v"), [0.25, 0.5, 0.75], {
+        r["column"]: (r["count"], r["min"], r["max"]) for r in rows if r["count"]})
+    nothing = [None] * 3
+    schema = moments.schema.add("p0", "double").add("p1", "double").add("p2", "double")
+    found = df.sparkSession.createDataFrame([(*r, *q.get(r["column"], nothing)) for r in rows],
+                                            schema)
+    return found.select(
         "column", "count",
         dround(F.col("s").cast("double") / F.col("count").cast("double"), 6).alias("mean"),
         dround("std", 6).alias("std"), "min",

@@ -1,23 +1,59 @@
-"""Seeded fixed-size sampling."""
+"""Seeded fixed-size sampling by bottom-k selection."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.operators.ordered import with_row_numbers
+#: Hexadecimal digits of the row digest read per pass (4,096 cells).
+DIGITS = 3
+#: A cut-off cell of up to so many rows is sorted instead of being cut again.
+SMALL = 1000
+
+
+def row_digest(seed: int, columns: list[str]) -> Column:
+    """MD5 of the seed and the columns' texts (32 hexadecimal digits).  A value is written
+    with its length, a null as ``-``, so different rows have different texts."""
+    def part(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.md5(F.concat_ws(",", F.lit(str(seed)), *map(part, columns)).cast("binary"))
+
 
 def sample_fixed_n(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones on every run and layout.
 
-    Rows are ranked by a seeded hash of ``key`` (default: all columns, which also
-    break hash ties) and the ``n`` smallest kept.  ``DataFrame.sample`` draws a
-    fraction, not an exact count.  The rows are numbered in that order by
-    :func:`~tillsight.operators.ordered.with_row_numbers` and filtered, whatever ``n``
-    is, so no task holds the sample.
+    Kept are the ``n`` rows with the smallest digests of ``key`` (default: all columns), ties
+    by the digest of all columns.  Passes count rows per leading digits until the cell that
+    holds the n-th row is small; rows below that cell are kept by a filter, and only the
+    cell itself is sorted.  Rows whose digests agree to the last digit are copies of one
+    another: the cell then is one row, repeated as often as is missing.
     """
-    cols = key or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
-    order = [("__h", True)] + [(c, True) for c in cols]
-    return with_row_numbers(df.withColumn("__h", h), order, row_number="__rn") \
-        .filter(F.col("__rn") <= n).drop("__h", "__rn")
+    columns = key or df.columns
+    digest = row_digest(seed, columns)
+    if key:
+        digest = F.concat(digest, row_digest(seed, df.columns))
+    length = 64 if key else 32
+    rows = df.withColumn("__d", digest)
+    prefix, missing = "", n
+    while True:
+        cell = rows.filter(F.col("__d").startswith(prefix)) if prefix else rows
+        width = min(DIGITS, length - len(prefix))
+        counts = sorted(cell.groupBy(F.substring("__d", len(prefix) + 1, width).alias("c"))
+                        .count().collect())
+        if not prefix and sum(c["count"] for c in counts) <= n:
+            return df
+        for c in counts:
+            if c["count"] >= missing:
+                break
+            missing -= c["count"]
+        prefix += c["c"]
+        if c["count"] <= SMALL or len(prefix) == length:
+            break
+    below = rows.filter(F.col("__d") < prefix)
+    edge = rows.filter(F.col("__d").startswith(prefix))
+    if len(prefix) == length:
+        edge = edge.limit(1).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(missing))))
+    else:
+        edge = edge.orderBy("__d").limit(missing)
+    return below.unionByName(edge.select(*below.columns)).drop("__d")

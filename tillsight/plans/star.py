@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tillsight import params as P
 from tillsight.functions.numeric import MONEY, PRICE
 from tillsight.model import Retail
+from tillsight.operators.grouped import grouped_median, grouped_mode
 
 
 def _customer_key(col: F.Column) -> F.Column:
@@ -73,14 +74,13 @@ def guest_member(spark: SparkSession) -> DataFrame:
 
 
 def dim_products(sales: DataFrame, returns: DataFrame) -> DataFrame:
-    # one aggregation over sales ∪ returns: the median takes every line's price,
-    # the mode only sales descriptions (return lines carry NULL, which mode skips)
-    lines = sales.select("stock_code", "unit_price", "description").unionByName(
-        returns.select("stock_code", "unit_price",
-                       F.lit(None).cast("string").alias("description")))
-    per_code = lines.groupBy("stock_code").agg(
-        F.median(F.col("unit_price").cast("double")).alias("median_price"),
-        F.mode("description", deterministic=True).alias("description"))
+    # the median takes every line's price, the mode only sales descriptions
+    lines = sales.select("stock_code", "unit_price").unionByName(
+        returns.select("stock_code", "unit_price"))
+    per_code = lines.select("stock_code").distinct() \
+        .join(grouped_median(lines, "stock_code", "unit_price", "median_price"),
+              "stock_code", "left") \
+        .join(grouped_mode(sales, "stock_code", "description"), "stock_code", "left")
     return per_code.select(
         "stock_code", "description",
         F.round(F.col("median_price").cast("decimal(38,9)"), 2).cast(PRICE).alias("unit_price"))
