@@ -69,8 +69,48 @@ def test_filter_reaches_the_line_facts(loaded):
 
 
 def test_exploratory_rule_set_keeps_service_lines(loaded):
-    from dataclasses import replace
-    r = replace(star.build(loaded[2], loaded[3]), totals=etl.eda_totals(loaded[1]))
-    got = eda.kpi_overview(r).collect()[0]
-    assert (got.total_orders, got.total_customers) == (4, 3)
-    assert got.total_revenue == pytest.approx(3.0 + 2.0 + 0.4 + 9.0 + 3.0)
+    summary = etl.eda_totals(loaded[1])
+    got = eda.kpi_overview(summary).collect()[0]
+    # the line without an invoice counts in the total and its customer, not in a ticket
+    assert (got.total_orders, got.total_customers) == (4, 4)
+    assert got.total_revenue == pytest.approx(3.0 + 2.0 + 0.4 + 9.0 + 3.0 + 1.0)
+    assert got.avg_ticket == pytest.approx((3.0 + 2.0 + 0.4 + 9.0 + 3.0) / 4)
+    shares = {x.market: x for x in eda.home_market_share(summary, "France").collect()}
+    assert shares["rest"].revenue == pytest.approx(0.4 + 9.0 + 1.0)
+    kept = eda.retention_split(summary).collect()[0]
+    assert (kept.customers, kept.single_customers, kept.repeat_customers) == (4, 2, 1)
+
+
+def test_exploratory_figures_differ_from_the_cleaned_ones(spark):
+    """On the test tables the two populations give different figures."""
+    from tests.conftest import SF_MID
+    from tillsight.registry import QUERIES
+    from tillsight.warehouse import cleaned, synthetic
+    summary = cleaned(spark, SF_MID).eda_summary()
+    of_star = synthetic(spark, SF_MID).invoice_totals()
+    for fn in (eda.kpi_overview, eda.peak_month, eda.retention_split, eda.revenue_by_weekday):
+        assert fn(summary).collect() != fn(of_star).collect()
+    texts = {x.description for x in QUERIES["price_volume_top200"](spark, SF_MID).collect()}
+    assert any(t.endswith(" NEW") for t in texts)
+
+
+def test_missing_tokens_and_dates_of_typed_columns(spark, tmp_path):
+    """NaN is a missing id, not a number; a date in another format is malformed, not silent."""
+    path = tmp_path / "raw.csv"
+    path.write_text("""Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country
+1,10001,A,2,2011-01-05 10:00:00,1.50,NaN,France
+2,10002,B,NA,2011-01-05,1.50,7.0,France
+3,10003,C,1,2011-01-05T10:00:00,null,8.0,France
+4,10004,D,1.5,2011-13-05 10:00:00,x,9.0,France
+""", encoding="utf-8")
+    raw = read_raw_transactions(spark, str(path))
+    rows = {r.invoice_no: r for r in raw.collect()}
+    assert rows["1"].customer_id is None and str(rows["1"].invoice_date) == "2011-01-05 10:00:00"
+    assert [rows[i].invoice_date for i in "234"] == [None] * 3
+    assert (rows["2"].quantity, rows["4"].quantity) == (None, None)
+    got = {r.column: r.malformed for r in malformed_values(spark, str(path)).collect()}
+    assert got == {"quantity": 1, "invoice_date": 3, "unit_price": 1, "customer_id": 0}
+    sales, returns = clean(raw)
+    r = star.build(sales, returns)
+    assert sales.filter("invoice_no = '1'").first().is_guest
+    assert {c.customer_id for c in r.customers.collect()} == {-1}

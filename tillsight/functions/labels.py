@@ -27,11 +27,6 @@ def weekday_name(ts: Column | str) -> Column:
     return F.date_format(_c(ts), "EEEE")
 
 
-def month_abbr(month: Column | str) -> Column:
-    """``Jan`` … ``Dec`` from a month number."""
-    return F.date_format(F.make_date(F.lit(2000), _c(month), F.lit(1)), "MMM")
-
-
 def short_period(period: Column | str) -> Column:
     """Chart tick label: first three letters of the period, newline, 2-digit year."""
     p = _c(period)

@@ -17,10 +17,6 @@ MONEY = "decimal(12,2)"
 PRICE = "decimal(10,2)"
 
 
-def money(col: Column | str) -> Column:
-    return _c(col).cast(MONEY)
-
-
 def dround(col: Column | str, digits: int) -> Column:
     """Half-up rounding of a double through its decimal form, returned as double."""
     return F.round(_c(col).cast("decimal(38,9)"), digits).cast("double")

@@ -20,6 +20,7 @@ import argparse
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight import params as P
 from tillsight.model import Retail
@@ -50,7 +51,7 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> Retail:
     write_table(star.flat_lines(star.loadable(sales, returns)[0]), f"{out}/lines",
                 ["year", "month"])
     write_table(base.invoice_totals(), f"{out}/totals", ["year"])
-    write_table(etl.eda_totals(raw), f"{out}/eda_totals", ["year"])
+    write_table(etl.eda_totals(raw), f"{out}/eda_totals")
     stored = read_star(spark, out)
     write_table(malformed_values(spark, raw_path), f"{out}/_reports/malformed")
     write_table(cleaning.cleaning_report(raw, sales, returns), f"{out}/_reports/cleaning")
@@ -81,7 +82,8 @@ def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None =
           home: str = P.HOME_COUNTRY,
           rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, DataFrame]:
     """Every mart over a star schema; dashboard tabs under the given filter, exploratory
-    reports over ``eda_totals`` (the invoice summary of the exploratory lines)."""
+    reports over ``eda_totals`` (the summary of the exploratory lines; without one, over the
+    star's invoices)."""
     out: dict[str, DataFrame] = {}
     r = replace(r, rfm=views.rfm_scored(r, rfm_date), ranking=views.product_ranking(r))
     for name in ("monthly_growth", "monthly_revenue", "top_customers", "rfm_segments",
@@ -100,7 +102,8 @@ def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None =
                  "returns_kpis", "returns_by_country", "returns_by_product",
                  "returns_monthly", "filter_options"):
         out[f"dashboard/{name}"] = getattr(dashboard, name)(f)
-    e = r if eda_totals is None else replace(r, totals=eda_totals)
+    e = eda_totals if eda_totals is not None else r.invoice_totals().withColumn(
+        "customer_id", F.when(~F.col("is_guest"), F.col("customer_id")))
     for name in ("kpi_overview", "peak_month", "revenue_by_weekday", "weekday_extremes",
                  "retention_split", "hist_orders_per_customer"):
         out[f"eda/{name}"] = getattr(eda, name)(e)
@@ -116,7 +119,7 @@ def run_marts(spark: SparkSession, warehouse: str, out: str, years=None,
               countries=None, home: str = P.HOME_COUNTRY,
               rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, str]:
     r = read_star(spark, warehouse)
-    summary = spark.read.parquet(f"{warehouse}/eda_totals").select(*SUMMARY)
+    summary = spark.read.parquet(f"{warehouse}/eda_totals").select(*etl.EDA_SUMMARY)
     paths = {}
     for name, df in marts(r, years, countries, summary, home, rfm_date).items():
         path = f"{out}/{name}"

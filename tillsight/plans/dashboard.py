@@ -137,8 +137,17 @@ def pareto_ranked(r: Retail) -> DataFrame:
 
 
 def pareto_rows(r: Retail, head: int = 300) -> DataFrame:
-    """The first ``head`` ranks of the row-wise Pareto curve (the chart's window)."""
-    return pareto_ranked(r).filter(F.col("rank") <= head)
+    """The first ``head`` ranks of the row-wise Pareto curve (the chart's window): a bounded
+    top-k, ranked and summed over its ``head`` rows alone."""
+    desc = by_description(r).select("description", "rev")
+    order = [F.col("rev").desc(), F.col("description")]
+    top = Window.orderBy(*order)
+    total = desc.agg(F.sum("rev")).scalar()
+    return desc.orderBy(*order).limit(head).select(
+        F.row_number().over(top).cast("long").alias("rank"), "description",
+        as_double("rev").alias("revenue"),
+        (as_double(F.sum("rev").over(top.rowsBetween(Window.unboundedPreceding, 0)))
+         / as_double(total) * F.lit(100.0)).alias("cumulative_pct"))
 
 
 def pareto_cutoff(r: Retail, threshold: float = P.PARETO_PCT) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +22,22 @@ class Cleaned:
     returns: DataFrame
     stored_star: Retail | None = None
 
+    # optional stored summary of the exploratory lines
+    eda: DataFrame | None = None
+
     def star(self) -> Retail:
         if self.stored_star is not None:
             return self.stored_star
         return star.build(self.sales, self.returns)
 
+    def line_star(self) -> Retail:
+        """The star whose line table is the flat export: a line has its own description."""
+        lines = star.flat_lines(star.loadable(self.sales, self.returns)[0])
+        return replace(self.star(), lines=lines)
+
+    def eda_summary(self) -> DataFrame:
+        return self.eda if self.eda is not None else eda_totals(self.raw)
+
 
 def run_cleaning(raw: DataFrame) -> Cleaned:
     sales, returns = cleaning.clean(raw)
@@ -39,19 +50,18 @@ def eda_lines(raw: DataFrame) -> DataFrame:
         .withColumn("revenue", F.col("quantity") * F.col("unit_price"))
 
 
+EDA_SUMMARY = ["invoice_no", "customer_id", "country", "invoice_date", "revenue", "units",
+               "n_lines"]
+
+
 def eda_totals(raw: DataFrame) -> DataFrame:
-    """Invoice summary of the exploratory lines (the shape of ``Retail.totals``); the
-    header is the invoice's first line."""
-    attrs = F.struct("customer_id", "country", "invoice_date")
-    order = F.struct("invoice_date", "stock_code", "quantity", "unit_price")
-    return eda_lines(raw).filter(F.col("invoice_no").isNotNull()).groupBy("invoice_no").agg(
-        F.min_by(attrs, order).alias("a"), F.sum("revenue").alias("revenue"),
-        F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("n_lines")) \
-        .select("invoice_no", F.col("a.customer_id").cast("long").alias("customer_id"),
-                "a.country", "a.invoice_date", F.year("a.invoice_date").alias("year"),
-                F.month("a.invoice_date").alias("month"),
-                F.col("a.customer_id").isNull().alias("is_guest"),
-                "revenue", "units", "n_lines")
+    """The exploratory lines summed per invoice, customer, country and date, each the line's
+    own (usually one row an invoice; a null is a value of its own)."""
+    return eda_lines(raw).groupBy(
+        "invoice_no", F.col("customer_id").cast("long").alias("customer_id"), "country",
+        "invoice_date").agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"),
+        F.count(F.lit(1)).alias("n_lines"))
 
 
 def invoice_calendar(sales: DataFrame) -> DataFrame:

@@ -69,16 +69,9 @@ QUERIES.update({
 QUERIES.update({
     name: _mart(getattr(dashboard, name)) for name in (
         "monthly_rolling_avg", "revenue_by_year", "top10_countries", "heatmap_month_year",
-        "top10_products", "top10_units", "pareto_rows", "pareto_cutoff",
-        "price_volume_top200", "revenue_guest_split", "top10_customers",
+        "revenue_guest_split", "top10_customers",
         "new_customers_monthly", "hist_customer_revenue", "returns_kpis",
-        "returns_by_country", "returns_by_product", "returns_monthly", "filter_options")
-})
-QUERIES.update({
-    name: _mart(getattr(eda, name)) for name in (
-        "kpi_overview", "peak_month", "home_market_share", "intl_markets",
-        "revenue_by_weekday", "weekday_extremes", "retention_split",
-        "hist_orders_per_customer")
+        "returns_by_country", "returns_monthly", "filter_options")
 })
 
 
@@ -158,6 +151,15 @@ def _register_etl() -> None:
     from tillsight.plans import etl, star
     from tillsight.sources.tables import scan_table
 
+    # reports that group the line's own description read the flat export's lines, and the
+    # exploratory reports all its lines with a positive quantity and price
+    for name in ("top10_products", "top10_units", "pareto_rows", "pareto_cutoff",
+                 "price_volume_top200", "returns_by_product"):
+        QUERIES[name] = _etl(lambda c, fn=getattr(dashboard, name): fn(c.line_star()))
+    for name in ("kpi_overview", "peak_month", "home_market_share", "intl_markets",
+                 "revenue_by_weekday", "weekday_extremes", "retention_split",
+                 "hist_orders_per_customer"):
+        QUERIES[name] = _etl(lambda c, fn=getattr(eda, name): fn(c.eda_summary()))
     QUERIES.update({
         "scan_table": lambda s, d: scan_table(s, d, "orders"),
         "scan_csv_clean": lambda s, d: output_edge(_csv_roundtrip_raw(s, d)),

@@ -66,32 +66,47 @@ def _na_to_null(col: Column) -> Column:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
-    """CSV with a header, explicit schema and the too-many-fields rule."""
-    with_extra = T.StructType(schema.fields + [T.StructField(_EXTRA, T.StringType())])
+    """CSV with a header, explicit schema and the too-many-fields rule.
+
+    All fields are read as text: missing-value tokens become NULL in columns of every type
+    (``NaN`` is no number here), and so does text that is not of the column's type."""
+    text = _read_text(spark, path, schema)
+    return text.select(*[_typed(f, timestamp_format).alias(f.name) for f in schema.fields])
+
+
+def _read_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    with_extra = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                              + [T.StructField(_EXTRA, T.StringType())])
     df = (spark.read
           .option("header", True)
           .option("escape", '"')
           .option("encoding", "UTF-8")
           .option("mode", "PERMISSIVE")
-          .option("timestampNTZFormat", timestamp_format)
           .option("enforceSchema", True)
           .schema(with_extra)
           .csv(path))
     df = df.filter(F.col(_EXTRA).isNull()).drop(_EXTRA)
-    strings = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[_na_to_null(F.col(f"`{c}`")).alias(c) if c in strings
-                       else F.col(f"`{c}`") for c in schema.fieldNames()])
+    return df.select(*[_na_to_null(F.col(f"`{c}`")).alias(c) for c in schema.fieldNames()])
+
+
+def _typed(field: T.StructField, timestamp_format: str = TIMESTAMP_FORMAT) -> Column:
+    """The column's text as its type, NULL if it is none."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return col
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return F.try_to_timestamp(col, F.lit(timestamp_format)).cast(field.dataType)
+    return col.try_cast(field.dataType)
 
 
 def malformed_values(spark: SparkSession, path: str,
                      schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """``(column, malformed)``: values of each typed column that are neither missing nor
     of its type.  :func:`read_csv` reads them as NULL; this report makes them visible."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = read_csv(spark, path, text)
+    df = _read_text(spark, path, schema)
     typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     counts = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull()
-                                 & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+                                 & _typed(f).isNull())
                       .alias(f.name) for f in typed])
     return counts.select(F.explode(F.array(*[
         F.struct(F.lit(RAW_COLUMNS.get(f.name, f.name)).alias("column"),

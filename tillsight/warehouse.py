@@ -150,7 +150,7 @@ def synthetic(spark: SparkSession, folder: str) -> Retail:
 
 def cleaned(spark: SparkSession, folder: str):
     """Raw export → clean tables → star schema on the test tables, stored once."""
-    from tillsight.plans.etl import Cleaned, run_cleaning
+    from tillsight.plans.etl import Cleaned, eda_totals, run_cleaning
     from tillsight.sources import synthetic as syn
 
     def build():
@@ -171,8 +171,10 @@ def cleaned(spark: SparkSession, folder: str):
             "returns": lambda: _write(star.returns, f"{base}/returns"),
             "products": lambda: _write(star.products, f"{base}/products"),
             "customers": lambda: _write(star.customers, f"{base}/customers"),
+            "eda": lambda: _write(eda_totals(c.raw), f"{base}/eda_totals"),
         })
-        return Cleaned(c.raw, flat["sales"], flat["returns"], Retail(**t))
+        eda = t.pop("eda")
+        return Cleaned(c.raw, flat["sales"], flat["returns"], Retail(**t), eda)
 
     return _cached(spark, "etl", folder, build)
 
