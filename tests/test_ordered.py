@@ -107,7 +107,7 @@ def test_data_rows_never_meet_in_one_partition(spark, lines):
     for i in gathered:
         assert any(op in rows[i + 1] for op in
                    ("Aggregate", "TakeOrderedAndProject", "Window", "Sort")), rows[i + 1]
-    assert "__b" in plan and "TakeOrderedAndProject(limit=" in plan
+    assert "__ord_b" in plan and "TakeOrderedAndProject(limit=" in plan
 
 
 @pytest.mark.parametrize("parts", [1, 2, 9, 30])

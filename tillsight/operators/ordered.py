@@ -65,12 +65,12 @@ def _boundaries(df: DataFrame, order: Order, side: int) -> Column:
     # both windows run over the sample only
     place = F.row_number().over(Window.orderBy(*_sort_exprs(order))) - 1
     n = F.count(F.lit(1)).over(Window.partitionBy())
-    placed = sample.select(*cols, place.alias("__place"), n.alias("__n"))
-    cut = F.floor(F.col("__place") * parts / F.col("__n"))
-    before = F.floor((F.col("__place") - 1) * parts / F.col("__n"))
-    keys = F.array_sort(F.collect_list(F.struct("__place", F.struct(*cols).alias("key"))))
+    placed = sample.select(*cols, place.alias("__ord_place"), n.alias("__ord_n"))
+    cut = F.floor(F.col("__ord_place") * parts / F.col("__ord_n"))
+    before = F.floor((F.col("__ord_place") - 1) * parts / F.col("__ord_n"))
+    keys = F.array_sort(F.collect_list(F.struct("__ord_place", F.struct(*cols).alias("key"))))
     fine = F.transform(keys, lambda k: k["key"])
-    return placed.filter((F.col("__place") > 0) & (cut > before)).agg(fine.alias("fine")) \
+    return placed.filter((F.col("__ord_place") > 0) & (cut > before)).agg(fine.alias("fine")) \
         .select(F.struct(
             F.transform(F.filter("fine", lambda k, i: i % side == side - 1), lambda k: k)
             .alias("coarse"), "fine")).scalar()
@@ -93,11 +93,11 @@ def _with_buckets(df: DataFrame, orders: dict[str, Order], side: int) -> DataFra
         return F.size(F.filter(keys, lambda k: _at_or_before(k, order)))
     cols = df.columns
     # subqueries must be columns before a higher-order function may read them
-    df = df.withColumns({f"__k{i}": _boundaries(df, order, side)
+    df = df.withColumns({f"__ord_k{i}": _boundaries(df, order, side)
                          for i, order in enumerate(orders.values())})
     found = []
     for i, (name, order) in enumerate(orders.items()):
-        keys = F.col(f"__k{i}")
+        keys = F.col(f"__ord_k{i}")
         full = passed(keys["coarse"], order)
         found.append((full * side + passed(F.slice(keys["fine"], full * side + 1, side), order))
                      .alias(name))
@@ -115,7 +115,7 @@ def _offsets(df: DataFrame, names: Sequence[str], sums: Sequence[str] = ()) -> C
     total, s0, s1, …) of what stands before it; ``total`` counts all rows."""
     which = F.explode(F.array(*[F.struct(F.lit(i).alias("w"), F.col(n).alias("b"))
                                 for i, n in enumerate(names)]))
-    per_bucket = df.select(which.alias("x"), *sums).groupBy("x.w", "x.b").agg(
+    per_bucket = df.select(which.alias("__ord_x"), *sums).groupBy("__ord_x.w", "__ord_x.b").agg(
         F.count(F.lit(1)).alias(_CNT), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(sums)])
     # one row per bucket: the windows below are bounded by the number of buckets
     before = Window.partitionBy("w").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,21 +141,22 @@ def with_row_numbers(df: DataFrame, order: Order, row_number: str = "row_number"
     """
     running_sums = running_sums or {}
     side = _side(df, partitions)
-    df = _with_buckets(df, {"__b": order}, side)
-    at = _offsets(df, ["__b"], list(running_sums.values()))["__b"][F.col("__b")]
-    within = Window.partitionBy("__b").orderBy(*_sort_exprs(order))
+    df = _with_buckets(df, {"__ord_b": order}, side)
+    at = _offsets(df, ["__ord_b"], list(running_sums.values()))["__ord_b"][F.col("__ord_b")]
+    within = Window.partitionBy("__ord_b").orderBy(*_sort_exprs(order))
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df.withColumns({
-        "__at": at, row_number: F.row_number().over(within),
-        **{f"__r{i}": F.sum(src).over(running)
+        "__ord_at": at, row_number: F.row_number().over(within),
+        **{f"__ord_r{i}": F.sum(src).over(running)
            for i, src in enumerate(running_sums.values())}})
-    added = {row_number: F.col("__at.rows") + F.col(row_number)}
+    added = {row_number: F.col("__ord_at.rows") + F.col(row_number)}
     for i, name in enumerate(running_sums):
-        prior = F.col(f"__at.s{i}")
-        added[name] = F.coalesce(prior + F.col(f"__r{i}"), F.col(f"__r{i}"), prior)
+        prior = F.col(f"__ord_at.s{i}")
+        added[name] = F.coalesce(prior + F.col(f"__ord_r{i}"), F.col(f"__ord_r{i}"), prior)
     if total_count:
-        added[total_count] = F.col("__at.total")
-    return out.withColumns(added).drop("__b", "__at", *[f"__r{i}" for i in range(len(running_sums))])
+        added[total_count] = F.col("__ord_at.total")
+    return out.withColumns(added).drop("__ord_b", "__ord_at",
+                                       *[f"__ord_r{i}" for i in range(len(running_sums))])
 
 
 def ntile_from_row_number(rn: Column | str, n: Column | str, k: int) -> Column:
@@ -177,14 +178,14 @@ def with_ntiles(df: DataFrame, tiles: dict[str, tuple[Order, int]],
     The orders must be total.  ``df`` is evaluated once for all counts and once for the result."""
     side = _side(df, partitions)
     cols = df.columns
-    df = _with_buckets(df, {f"__b_{out}": order for out, (order, _) in tiles.items()}, side)
-    offsets = _offsets(df, [f"__b_{out}" for out in tiles])
+    df = _with_buckets(df, {f"__ord_b_{out}": order for out, (order, _) in tiles.items()}, side)
+    offsets = _offsets(df, [f"__ord_b_{out}" for out in tiles])
     for out, (order, k) in tiles.items():
-        within = Window.partitionBy(f"__b_{out}").orderBy(*_sort_exprs(order))
-        df = df.withColumns({"__at": offsets[f"__b_{out}"][F.col(f"__b_{out}")],
-                             "__rn": F.row_number().over(within)})
-        rn = F.col("__at.rows") + F.col("__rn")
-        df = df.withColumn(out, ntile_from_row_number(rn, F.col("__at.total"), k))
+        within = Window.partitionBy(f"__ord_b_{out}").orderBy(*_sort_exprs(order))
+        df = df.withColumns({"__ord_at": offsets[f"__ord_b_{out}"][F.col(f"__ord_b_{out}")],
+                             "__ord_rn": F.row_number().over(within)})
+        rn = F.col("__ord_at.rows") + F.col("__ord_rn")
+        df = df.withColumn(out, ntile_from_row_number(rn, F.col("__ord_at.total"), k))
     return df.select(*cols, *tiles)
 
 
@@ -230,6 +231,6 @@ def top_k_with_ties(df: DataFrame, key: str, k: int, rank: str = "rank") -> Data
     """
     best = df.select(key).filter(F.col(key).isNotNull()).orderBy(F.col(key).desc()).limit(k) \
         .agg(F.collect_list(key)).scalar()
-    return df.filter(F.col(key) >= F.array_min(best)).withColumn("__best", best).withColumn(
-        rank, (F.size(F.filter("__best", lambda v: v > F.col(key))) + 1).cast("int")) \
-        .drop("__best")
+    return df.filter(F.col(key) >= F.array_min(best)).withColumn("__ord_best", best).withColumn(
+        rank, (F.size(F.filter("__ord_best", lambda v: v > F.col(key))) + 1).cast("int")) \
+        .drop("__ord_best")
