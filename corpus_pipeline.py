@@ -8,11 +8,11 @@ documents; columns beyond doc_id, text, lang and source are passed on untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import decontaminate, langid, mixing, near_dedup, sharding
-from tillsight.llm.common import stored, word_count
+from tillsight.llm.common import stored, text_tag, word_count
 from tillsight.sources.tables import read_table
 
 #: Share of a document's letters that its main language must hold.
@@ -33,28 +33,58 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
          else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def row_key(docs: DataFrame) -> Column:
+    """64-bit hash of a whole row, which tells rows with equal or null ids apart (nulls are
+    hashed as such).  Only identical rows share it; for them every decision is the same."""
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
+def _copies_apart(docs: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (with ``__key``) that stand alone, and one row for each set of identical ones;
+    ``repeated``: the keys that several rows have."""
+    again = docs.join(repeated.select("__key"), "__key", "left_semi")
+    return docs.join(repeated.select("__key"), "__key", "left_anti"), \
+        again.dropDuplicates()
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The smallest id of each group of near copies (five-word shingles, 0.8)."""
-    kept = near_dedup.near_duplicates(docs, shingle=5, percent=80) \
-        .filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    with_id = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
-    return with_id.union(docs.filter("doc_id is null"))
+    """One row of each group of near copies (five-word shingles, 0.8): that of the smallest
+    id, of several such rows the one with the smallest hash, of identical ones any."""
+    keyed = docs.withColumn("__key", row_key(docs))
+    rows = keyed.groupBy("__key").agg(F.min("doc_id").alias("__id"), F.count(F.lit(1)).alias("__n"))
+    found = near_dedup.near_duplicates(keyed, shingle=5, percent=80, id_col="__key") \
+        .select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    rows = stored(rows.join(found, "__key"), "pipeline-groups")
+    kept = rows.groupBy("component_id").agg(
+        F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__key")).alias("best")) \
+        .select(F.col("best.__key").alias("__key"))
+    keyed = keyed.join(kept, "__key", "left_semi")
+    alone, once = _copies_apart(keyed, rows.filter("__n > 1").join(kept, "__key", "left_semi"))
+    return alone.union(once).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    leaks = decontaminate.contaminated(docs, read_table(spark, folder, "benchmark")) \
-        .select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__id"]), "left_anti")
+    """Documents that hold no benchmark passage; a text decides for all its rows."""
+    keyed = docs.withColumn("__key", text_tag(F.col("text").cast("binary")))
+    leaks = decontaminate.contaminated(keyed, read_table(spark, folder, "benchmark"),
+                                       id_col="__key") \
+        .select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(leaks, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document as often as the mix takes it (0 to 3 times)."""
-    mixed = mixing.mix_sources(docs, F.array("source"), word_count(F.col("text")))
-    copies = mixed.groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies")) \
-        .filter("__copies > 0")
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__id"]))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))) \
+    """Every row as often as the mix takes it (0 to 3 times).  Identical rows are taken as
+    often as the mix takes them together."""
+    keyed = docs.withColumn("__key", row_key(docs))
+    mixed = mixing.mix_sources(keyed, F.array("source"), word_count(F.col("text")), id_col="__key")
+    taken = stored(mixed.groupBy("__key").agg(
+        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__n"))
+        .filter("__copies > 0"), "pipeline-taken")
+    keyed = keyed.join(taken.select("__key", "__copies"), "__key")
+    alone, once = _copies_apart(keyed, taken.filter("__n > 1"))
+    return alone.union(once) \
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))) \
         .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -60,6 +60,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_tag(text: Column | str) -> Column:
+    """64-bit hash of a text (null: empty), to tell rows of one id apart.  Rows with one id
+    and one text are copies, for which any decision on the text is the same."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text,
+                                 F.lit(b"")))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null or blank text: empty array)."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

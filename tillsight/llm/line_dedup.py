@@ -9,7 +9,7 @@ A text is cut into runs of lines at two scales.
   repeated run of two or more lines is covered by its fine chunks, wherever the coarse
   boundaries fall.
 
-A chunk of two or more lines that occurs before, in the order of (id, position), is
+A chunk of two or more lines that occurs before, in the order of (id, text, position), is
 removed from the text, after its bytes were compared with the first occurrence; it may
 overlap that one (of three equal lines the first stays).  Single lines and chunks without a
 word are never removed.
@@ -18,11 +18,12 @@ Plan: chunk digests are counted with partial aggregation; a fixed-size bit map o
 that recur spares the next scan most other chunks (it never decides: a false hit is only
 carried along); chunks whose digest recurs keep their bytes after one join on the digest;
 each is compared with its first occurrence (a join on the digest: hot chunks are split by
-AQE); texts are rebuilt in one join on the id.
+AQE); texts are rebuilt in one join on the row's id and text hash.
 
-Defined cases: null text has no lines and stays null; rows with equal ids are read as
-one document, so none of them loses lines to the other; an empty table gives no rows;
-ids may be null (their chunks count as earliest); only id and text are read.
+Defined cases: null text has no lines and stays null; an empty table gives no rows; rows
+with equal ids are told apart by their texts and lose chunks to one another as others do,
+except that copies (one id, one text) are all treated as the first of them; ids may be null
+(their chunks count as earliest); only id and text are read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import mix64, ship, stored
+from tillsight.llm.common import mix64, ship, stored, text_tag
 from tillsight.llm.substring_dedup import BitMap
 
 SPAN, EVERY, SHORTEST, LONGEST = 1, 3, 2, 16
@@ -76,9 +77,9 @@ def _chunk_rows(recurring=None):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids, rows = part.column(0).to_pylist(), []
-                for doc, text in zip(ids, part.column(1).to_pylist(), strict=True):
-                    rows += [(doc, s, n, b) for s, n, b in chunks(text or b"")]
+                rows = []
+                for doc, tag, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    rows += [(doc, s, n, b, tag) for s, n, b in chunks(text or b"")]
                 h = np.fromiter((xxhash.xxh64_intdigest(r[3]) for r in rows), np.uint64,
                                 len(rows))
                 if recurring is not None:
@@ -86,6 +87,7 @@ def _chunk_rows(recurring=None):
                     h, rows = h[at], [rows[i] for i in at.tolist()]
                 out = {"h": pa.array(h.view(np.int64)),
                        "id": pa.array([r[0] for r in rows], pa.int64()),
+                       "tag": pa.array([r[4] for r in rows], pa.int64()),
                        "first": pa.array([r[1] for r in rows], pa.int32())}
                 if recurring is not None:
                     out |= {"n": pa.array([r[2] for r in rows], pa.int32()),
@@ -113,29 +115,33 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_chunks(texts: DataFrame) -> DataFrame:
-    """(id, first, n) of every chunk that occurs before; ``texts``: id, text (binary)."""
-    seen = texts.mapInArrow(_chunk_rows(), "h long, id long, first int")
+    """(id, tag, first, n) of every chunk that occurs before; ``texts``: id, tag, text
+    (binary)."""
+    place = F.struct("id", "tag", "first")
+    seen = texts.mapInArrow(_chunk_rows(), "h long, id long, tag long, first int")
     recur = stored(seen.groupBy("h").agg(
-        F.min(F.struct("id", "first")).alias("at"), F.count(F.lit(1)).alias("times")) \
+        F.min(place).alias("at"), F.count(F.lit(1)).alias("times")) \
         .filter("times > 1").select("h", "at"), "recurring-digests")
     shared = texts.sparkSession.sparkContext.broadcast(BitMap(recur, "h"))
     bodies = texts.mapInArrow(_chunk_rows(shared),
-                              "h long, id long, first int, n int, body binary")
+                              "h long, id long, tag long, first int, n int, body binary")
     rows = stored(bodies.join(recur, "h").withColumn(
-        "is_first", F.struct("id", "first").eqNullSafe(F.col("at"))), "repeated-chunks")
+        "is_first", place.eqNullSafe(F.col("at"))), "repeated-chunks")
     firsts = rows.filter("is_first").groupBy("h").agg(F.min("body").alias("first_body"))
     return rows.filter("not is_first").join(firsts, "h") \
-        .filter(F.col("body") == F.col("first_body")).select("id", "first", "n")
+        .filter(F.col("body") == F.col("first_body")).select("id", "tag", "first", "n")
 
 
 def drop_repeated_chunks(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed and kept_text of every row of ``df``."""
     ship(df.sparkSession)
-    texts = df.select(F.col(id_col).cast("long").alias("id"),
-                      F.col(text).cast("binary").alias("text"))
-    cuts = repeated_chunks(texts).groupBy("id") \
-        .agg(F.collect_list(F.struct("first", "n")).alias("cuts")) \
-        .withColumnRenamed("id", "cut_id")
-    return texts.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")), "left") \
+    body = F.col(text).cast("binary")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), text_tag(body).alias("tag"),
+                      body.alias("text"))
+    cuts = repeated_chunks(texts) \
+        .groupBy(F.col("id").alias("cut_id"), F.col("tag").alias("cut_tag")) \
+        .agg(F.collect_list(F.struct("first", "n")).alias("cuts"))
+    return texts.join(cuts, F.col("id").eqNullSafe(F.col("cut_id"))
+                      & (F.col("tag") == F.col("cut_tag")), "left") \
         .select("id", "text", "cuts") \
         .mapInArrow(_rebuild, "doc_id long, n_lines long, n_removed long, kept_text string")

@@ -28,8 +28,9 @@ Words are compared by 64-bit hashes in fingerprints and runs, by 32-bit hashes i
 shard (all 13 words of a window, next to an equal fingerprint).
 
 Defined cases: null text has no words; a text shorter than a window loses nothing; a null
-id loses nothing and takes nothing from others; rows with equal ids are one document; empty
-tables give no rows; only id and text are read.
+id loses nothing and takes nothing from others; rows with equal ids never take from one
+another, and each loses only windows of its own text (:func:`~tillsight.llm.common.text_tag`);
+empty tables give no rows; only id and text are read.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import mix64, ngram_hashes, ship, stored, word_hashes
+from tillsight.llm.common import mix64, ngram_hashes, ship, stored, text_tag, word_hashes
 from tillsight.llm.fm_index import FMIndex
 
 SPAN, GRAM = 13, 6
@@ -106,19 +107,20 @@ class Runs:
 
 
 def _parts(batches: Iterator[pa.RecordBatch], limit: int = 1 << 21):
-    """(ids, Runs) of consecutive documents, about ``limit`` bytes each."""
+    """(ids and tags, Runs) of consecutive documents, about ``limit`` bytes each."""
     for batch in batches:
         ids, texts, held = [], [], 0
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for i, tag, t in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(),
+                             batch.column("text"), strict=True):
             t = t.as_py() or b""
-            ids.append(i)
+            ids.append((i, tag))
             texts.append(t)
             held += len(t)
             if held >= limit:
-                yield np.array(ids), Runs(texts)
+                yield np.array(ids, np.int64), Runs(texts)
                 ids, texts, held = [], [], 0
         if ids:
-            yield np.array(ids), Runs(texts)
+            yield np.array(ids, np.int64), Runs(texts)
 
 
 def _count_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,10 +145,11 @@ def _runs(shared):
         for ids, r in _parts(batches):
             at = np.flatnonzero(shared.value.has(r.fingerprint))
             f, seq = r.fingerprint[at], r.sequence_hashes()[at]
-            doc, start = ids[r.doc[at]].astype(np.int64), r.start[at]
+            doc, tag, start = ids[r.doc[at], 0], ids[r.doc[at], 1], r.start[at]
             yield pa.record_batch({
                 "f": pa.array(f.view(np.int64)), "seq": pa.array(seq.view(np.int64)),
-                "id": pa.array(doc), "start": pa.array(start.astype(np.int32)),
+                "id": pa.array(doc), "tag": pa.array(tag),
+                "start": pa.array(start.astype(np.int32)),
                 "windows": pa.array(r.windows[at].astype(np.int32)),
                 "own": pa.array(instance_hash(f, seq, doc, start).view(np.int64))})
     return run
@@ -156,7 +159,7 @@ def _run_words(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, r in _parts(batches):
             seq = r.sequence_hashes()
-            own = instance_hash(r.fingerprint, seq, ids[r.doc].astype(np.int64), r.start)
+            own = instance_hash(r.fingerprint, seq, ids[r.doc, 0], r.start)
             at = np.flatnonzero(shared.value.has(own))
             short = (r.h >> np.uint64(32)).astype("<u4")
             yield pa.record_batch({
@@ -215,22 +218,23 @@ def search_shard(table: pa.Table) -> pa.Table:
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
-    """(id, start, windows): runs of windows that an earlier document has.
+    """(id, tag, start, windows): runs of windows that an earlier document has.
 
-    ``texts``: id (long, not null), text (binary)."""
+    ``texts``: id (long, not null), tag (long), text (binary)."""
     spark = texts.sparkSession
     share = spark.sparkContext.broadcast
     several = texts.mapInArrow(_count_fingerprints, "f long, n int") \
         .groupBy("f").agg(F.sum("n").alias("n")).filter("n > 1").select("f")
     several = BitMap(several, "f")
     runs = stored(texts.mapInArrow(
-        _runs(share(several)), "f long, seq long, id long, start int, windows int, own long"),
+        _runs(share(several)),
+        "f long, seq long, id long, tag long, start int, windows int, own long"),
         "runs")
     sequences = stored(runs.groupBy("f", "seq").agg(
         F.min(F.struct("id", "start", "own", "windows")).alias("at"))
         .select("f", "seq", F.col("at.id").alias("lo"), "at.own", "at.windows"), "sequences")
     of_run = runs.join(sequences.select("f", "seq", "lo"), ["f", "seq"])
-    whole = of_run.filter("id > lo").select("id", "start", "windows")
+    whole = of_run.filter("id > lo").select("id", "tag", "start", "windows")
 
     mixed = sequences.groupBy("f").agg(
         F.count(F.lit(1)).alias("n"), F.min("lo").alias("a"), F.max("lo").alias("b"),
@@ -250,16 +254,16 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     least = single.groupBy("f", "words").agg(F.min("id").alias("least"))
     matches = matches.union(single.join(least, ["f", "words"]).filter("least < id")
                             .select("f", "seq", "offset", F.lit(1).alias("windows")))
-    inside = of_run.filter("id = lo").select("f", "seq", "id", "start").join(
+    inside = of_run.filter("id = lo").select("f", "seq", "id", "tag", "start").join(
         stored(matches, "matches"), ["f", "seq"]) \
-        .select("id", (F.col("start") + F.col("offset")).alias("start"), "windows")
+        .select("id", "tag", (F.col("start") + F.col("offset")).alias("start"), "windows")
     return stored(whole.union(inside), "repeated-windows")
 
 
 def _split_by(shared, inside: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids = batch.column("id")
             known = np.array([i is not None for i in ids.to_pylist()], bool)
             h = mix64(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
             hit = known & shared.value.has(h) if len(h) else known
@@ -270,8 +274,9 @@ def _split_by(shared, inside: bool):
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, gone, kept = [], [], []
-        cuts = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
-        for text, cut in zip(batch.column(1), cuts, strict=True):
+        cuts = batch.column("cuts").to_pylist() if "cuts" in batch.schema.names \
+            else [None] * batch.num_rows
+        for text, cut in zip(batch.column("text"), cuts, strict=True):
             words = (text.as_py() or b"").split()
             total.append(len(words))
             if cut:
@@ -285,7 +290,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone.append(total[-1] - len(words))
             kept.append(b" ".join(words))
         yield pa.record_batch({
-            "doc_id": batch.column(0), "n_words": pa.array(total, pa.int64()),
+            "doc_id": batch.column("id"), "n_words": pa.array(total, pa.int64()),
             "n_removed": pa.array(gone, pa.int64()),
             "kept_text": pa.array([k.decode() for k in kept], pa.string())})
 
@@ -303,17 +308,18 @@ def drop_repeated_windows(df: DataFrame, id_col: str = "doc_id", text: str = "te
     """doc_id, n_words, n_removed and kept_text (or kept_sha256) of every row of ``df``."""
     spark = df.sparkSession
     ship(spark)
-    texts = df.select(F.col(id_col).cast("long").alias("id"),
-                      F.col(text).cast("binary").alias("text"))
+    body = F.col(text).cast("binary")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), text_tag(body).alias("tag"),
+                      body.alias("text"))
     cuts = repeated_windows(texts.filter("id is not null"))
     affected = stored(cuts.select("id").distinct().mapInArrow(_hash_ids, "h long"), "affected")
     shared = spark.sparkContext.broadcast(BitMap(affected, "h"))
-    schema = "id long, text binary"
+    schema = "id long, tag long, text binary"
     untouched = texts.mapInArrow(_split_by(shared, False), schema)
-    grouped = cuts.groupBy(F.col("id").alias("cut_id")) \
+    grouped = cuts.groupBy("id", "tag") \
         .agg(F.collect_list(F.struct("start", "windows")).alias("cuts"))
     touched = texts.mapInArrow(_split_by(shared, True), schema) \
-        .join(grouped, F.col("id") == F.col("cut_id"), "left").select("id", "text", "cuts")
+        .join(grouped, ["id", "tag"], "left").select("id", "text", "cuts")
     how = _digest if digests else _apply
     out = "doc_id long, n_words long, n_removed long, " \
         + ("kept_sha256 string" if digests else "kept_text string")
