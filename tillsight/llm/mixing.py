@@ -191,8 +191,10 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
           words[i] % max(capacity[i], 1)) for i, p in enumerate(patterns)],
         "__pm array<string>, __p int, __before long, __copies int, __left long"), "mix-plan")
 
+    # tables with one row a pattern (``max_patterns`` at most) are broadcast: a pattern may
+    # hold a third of all documents
     # seeded order inside each pattern; the row number is the row's own key
-    offered = docs.join(plan, F.col("__m").eqNullSafe(F.col("__pm"))).drop("__pm") \
+    offered = docs.join(F.broadcast(plan), F.col("__m").eqNullSafe(F.col("__pm"))).drop("__pm") \
         .withColumn("__draw", F.xxhash64(F.lit(seed), "__id", "__size"))
     numbered = stored(with_row_numbers(
         offered, [("__p", True), ("__draw", True), ("__id", True), ("__size", True)],
@@ -203,14 +205,14 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
         .select("__rn", "__p", "__size", "__left")
     for _ in range(fills):
         got = chosen.groupBy("__p").agg(F.sum("__size").alias("__got"))
-        fits = rest.join(got, "__p", "left") \
+        fits = rest.join(F.broadcast(got), "__p", "left") \
             .withColumn("__room", F.col("__left") - F.coalesce("__got", F.lit(0))) \
             .filter(F.col("__size") <= F.col("__room"))
         running = with_row_numbers(
             fits.select("__p", "__rn", "__size", "__room"), [("__p", True), ("__rn", True)],
             "__at", {"__sum": "__size"})
         heads = running.groupBy("__p").agg(F.min(F.col("__sum") - F.col("__size")).alias("__h"))
-        more = stored(running.join(heads, "__p")
+        more = stored(running.join(F.broadcast(heads), "__p")
                       .filter(F.col("__sum") - F.col("__h") <= F.col("__room"))
                       .select("__rn", "__p", "__size"), "mix-fill")
         rest = rest.join(more.select("__rn"), "__rn", "left_anti")
@@ -218,7 +220,7 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
     # one more document where it brings the pattern nearer to its flow
     got = chosen.groupBy("__p").agg(F.sum("__size").alias("__got"))
     off = F.abs(F.col("__room") - F.col("__size"))
-    last = rest.join(got, "__p", "left") \
+    last = rest.join(F.broadcast(got), "__p", "left") \
         .withColumn("__room", F.col("__left") - F.coalesce("__got", F.lit(0))) \
         .filter(off < F.col("__room")) \
         .groupBy("__p").agg(F.min_by(F.struct("__rn", "__size"), F.struct(off, "__rn")).alias("x")) \
