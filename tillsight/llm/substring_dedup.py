@@ -17,10 +17,10 @@ fingerprint form a run (13 to 20 words).
 3. Sequences that share a fingerprint, but differ, go to the FM-index of their shard
    (wavelet matrix over the BWT, :mod:`tillsight.llm.fm_index`), which streams them by
    backward search and reports, per window, the smallest document it occurs in.  The
-   number of shards follows the volume.  A fingerprint with more than ``HOT`` words is cut
-   into single windows instead: equal ones are merged to their smallest document by partial
-   counts per task, and that is joined back (an index of distinct windows of ``SPAN`` words
-   finds no others), so copies never meet in one task.
+   number of shards follows the volume.  A fingerprint whose sequences would outgrow a shard
+   alone (``SHARD_WORDS`` words) is cut into single windows instead: equal ones are merged to
+   their smallest document by partial counts per task, and that is joined back (an index of
+   distinct windows of ``SPAN`` words finds no others), so no task holds more than two shards.
 4. The windows found are merged per document and applied to its text.  Only texts in a
    bit map of affected ids are shuffled.
 
@@ -47,7 +47,7 @@ from tillsight.llm.common import mix64, ngram_hashes, ship, stored, text_tag, wo
 from tillsight.llm.fm_index import FMIndex
 
 SPAN, GRAM = 13, 6
-SHARD_WORDS, HOT = 400_000, 40_000
+SHARD_WORDS = 400_000
 BITS = 27  # of a bit map: 16 MB
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -239,7 +239,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     mixed = sequences.groupBy("f").agg(
         F.count(F.lit(1)).alias("n"), F.min("lo").alias("a"), F.max("lo").alias("b"),
         F.sum(F.col("windows") + SPAN - 1).alias("volume")).filter("n > 1 and a < b")
-    unclear = stored(sequences.join(mixed.select("f", (F.col("volume") > HOT).alias("hot"),
+    unclear = stored(sequences.join(mixed.select("f", (F.col("volume") > SHARD_WORDS).alias("hot"),
                                                  "volume"), "f"), "unclear")
     volume = unclear.filter("not hot").agg(F.sum(F.col("windows") + SPAN - 1)).first()[0] or 0
     shards = max(1, -(-int(volume) // SHARD_WORDS))
