@@ -253,7 +253,6 @@ def test_hot_fingerprints(spark, monkeypatch):
         "doc_id long, text string")
     expected = {r["doc_id"]: r["kept_text"] for r in s.drop_repeated_windows(docs).collect()}
     assert expected[0] == f"l0 m0 {passage} r0 s0" and expected[9] == "l9 r9 s0"
-    monkeypatch.setattr(s, "HOT", 10)
     monkeypatch.setattr(s, "SHARD_WORDS", 50)
     assert {r["doc_id"]: r["kept_text"] for r in s.drop_repeated_windows(docs).collect()} \
         == expected

@@ -79,7 +79,7 @@ def test_copies_of_a_hot_window_are_merged(spark, monkeypatch):
         return real(table)
 
     monkeypatch.setattr(m, "search_shard", strict)
-    monkeypatch.setattr(m, "HOT", 100)
+    monkeypatch.setattr(m, "SHARD_WORDS", 100)
     shared = " ".join(f"w{i}" for i in range(40))
     docs = [(i, f"a{i} b{i} {shared} c{i} d{i}") for i in range(300)]
     found = m.drop_repeated_windows(spark.createDataFrame(docs, "doc_id long, text string"))
