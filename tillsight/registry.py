@@ -148,7 +148,7 @@ def _reassigned(c) -> DataFrame:
 def _register_etl() -> None:
     from tillsight.operators import cleaning, quality
     from tillsight.operators.sampling import sample_fixed_n
-    from tillsight.plans import etl, star
+    from tillsight.plans import etl, load, star
     from tillsight.sources.tables import scan_table
 
     # reports that group the line's own description read the flat export's lines, and the
@@ -195,6 +195,11 @@ def _register_etl() -> None:
         "returns_reassign_orphans": _etl(_reassigned),
         "customer_orphans": _etl(lambda c: quality.customer_orphans(c.star().customers)),
         "load_row_counts": _etl(lambda c: star.row_counts(c.star())),
+        "load_checks": _etl(lambda c: load.line_checks(
+            cleaning.split_sales_returns(c.raw)[0], c.star())),
+        "quarantined_lines": _etl(lambda c: load.quarantined_lines(
+            cleaning.split_sales_returns(c.raw)[0], c.star())),
+        "surrogate_keys": _etl(lambda c: load.surrogate_keys(c.star())),
         "dq_not_null": _etl(lambda c: quality.dq_not_null(c.star())),
         "dq_check": _etl(lambda c: quality.dq_check(c.star())),
         "dq_pk_dups": _etl(lambda c: quality.dq_pk_dups(c.star())),
