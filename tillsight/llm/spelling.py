@@ -47,8 +47,9 @@ from tillsight.llm.common import ship, stored
 RUN = re.compile("[a-zÀ-ÿ]+")
 #: Runs whose hash this number divides lose a code point.
 SLIP = 97
-#: Words of a signature up to which they are compared.
-LARGE = 100
+#: Words of a signature up to which they are compared.  Comparing a word with so many others
+#: costs about what signing it anew does; both ways find the same pairs.
+LARGE = 1000
 _FLUSH = 200_000
 
 
@@ -128,12 +129,17 @@ def gram_side(words: DataFrame, pieces: int = 4) -> DataFrame:
                        F.col("n").alias("near_n"))
 
 
+def _dealt(words: DataFrame, name: str) -> DataFrame:
+    """Stored in as many files as a shuffle has partitions: a word's row is small, but
+    becomes dozens when it is signed."""
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(words.repartition(parts, "word"), name)
+
+
 def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
     """(word, n, near, near_n) of all ordered pairs at edit distance one."""
     longest = words.agg(F.max(F.length("word"))).first()[0] or 0
-    # a word's row is small, but becomes dozens: dealt to as many tasks as a shuffle has
-    dealt = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = right = words.repartition(dealt, "word")
+    left = right = words
     pieces, found = 4, None
     while True:
         chunks, grams = chunk_side(left, pieces), gram_side(right, pieces)
@@ -150,17 +156,16 @@ def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
         found = met if found is None else found.union(met)
         if not more:
             return found if pieces == 4 else found.distinct()
-        left = stored(chunks.join(crowded, "sig", "left_semi").select("word", "n").distinct(),
-                      "spelling-left").repartition(dealt, "word")
-        right = stored(grams.join(crowded, "sig", "left_semi").select(
-            F.col("near").alias("word"), F.col("near_n").alias("n")).distinct(),
-            "spelling-right").repartition(dealt, "word")
+        left = _dealt(chunks.join(crowded, "sig", "left_semi").select("word", "n").distinct(),
+                      "spelling-left")
+        right = _dealt(grams.join(crowded, "sig", "left_semi").select(
+            F.col("near").alias("word"), F.col("near_n").alias("n")).distinct(), "spelling-right")
         pieces *= 4
 
 
 def spelling_forms(words: DataFrame, ratio: int = 2) -> DataFrame:
     """word, form, root, n, n_near, form_n of every row of ``words`` (word, n; distinct)."""
-    words = stored(words.select("word", F.col("n").cast("long").alias("n")), "spelling-words")
+    words = _dealt(words.select("word", F.col("n").cast("long").alias("n")), "spelling-words")
     best = near_words(words).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"),
         F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near")))
