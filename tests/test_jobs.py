@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tests.test_cleaning import RAW
-from tillsight.jobs import run_etl, run_marts
+from tillsight.jobs import MART_ORDER, run_etl, run_marts
+from tillsight.sources.ordered import read_ordered
 
 
 def test_etl_then_marts(spark, tmp_path):
@@ -23,3 +24,11 @@ def test_etl_then_marts(spark, tmp_path):
     growth = spark.read.parquet(paths["views/monthly_growth"])
     assert growth.filter(F.col("year") == 2011).count() == 6
     assert len(paths) == 49
+    # every mart of an ORDER BY query comes back in its order
+    for name, order in MART_ORDER.items():
+        rows = [tuple(r[c] for c, _ in order) for r in read_ordered(spark, paths[name]).collect()]
+        for (column, ascending), *_ in [order]:
+            values = [r[0] for r in rows if r[0] is not None]
+            assert values == sorted(values, reverse=not ascending), (name, column)
+    assert [tuple(r) for r in read_ordered(spark, paths["views/rfm_segments"], 2).collect()] == \
+        [tuple(r) for r in read_ordered(spark, paths["views/rfm_segments"]).collect()][:2]

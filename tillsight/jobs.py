@@ -27,6 +27,7 @@ from tillsight.model import Retail
 from tillsight.operators import cleaning, quality
 from tillsight.plans import dashboard, eda, etl, star, views
 from tillsight.sources.csv import malformed_values, read_raw_transactions, write_csv
+from tillsight.sources.ordered import write_ordered
 from tillsight.sources.sinks import write_table
 
 STAR_TABLES = ("customers", "products", "invoices", "invoice_items", "returns")
@@ -115,6 +116,35 @@ def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None =
     return out
 
 
+# Final order of the marts that have one (read them with sources.ordered.read_ordered).
+_MONTHS = [("year", True), ("month", True)]
+_YEAR_MONTH = [("year_month", True)]
+MART_ORDER = {
+    "views/monthly_growth": _MONTHS, "views/monthly_revenue": _MONTHS,
+    "views/top_customers": [("rank", True)], "views/pareto_80": [("rank", True)],
+    "views/product_ranking": [("revenue_rank", True)],
+    "views/country_revenue": [("total_revenue", False)],
+    "views/country_ranking": [("revenue_rank", True)],
+    "views/rfm_segments": [("rfm_avg", False)],
+    "views/return_rate": [("return_rate_pct", False)],
+    "dashboard/monthly_rolling_avg": _YEAR_MONTH, "dashboard/returns_monthly": _YEAR_MONTH,
+    "dashboard/new_customers_monthly": _YEAR_MONTH,
+    "dashboard/revenue_by_year": [("year", True)],
+    "dashboard/heatmap_month_year": [("year", True)],
+    "dashboard/top10_countries": [("revenue", False)],
+    "dashboard/top10_products": [("revenue", False)],
+    "dashboard/top10_units": [("quantity", False)],
+    "dashboard/pareto_rows": [("rank", True)],
+    "dashboard/price_volume_top200": [("total_revenue", False)],
+    "dashboard/top10_customers": [("revenue", False)],
+    "dashboard/returns_by_country": [("return_count", False)],
+    "dashboard/returns_by_product": [("return_count", False)],
+    "eda/intl_markets": [("revenue", False)],
+    "eda/revenue_by_weekday": [("day_order", True)],
+    "eda/weekday_extremes": [("day_order", True)],
+}
+
+
 def run_marts(spark: SparkSession, warehouse: str, out: str, years=None,
               countries=None, home: str = P.HOME_COUNTRY,
               rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, str]:
@@ -123,7 +153,10 @@ def run_marts(spark: SparkSession, warehouse: str, out: str, years=None,
     paths = {}
     for name, df in marts(r, years, countries, summary, home, rfm_date).items():
         path = f"{out}/{name}"
-        write_table(df, path)
+        if name in MART_ORDER:
+            write_ordered(df, path, MART_ORDER[name])
+        else:
+            write_table(df, path)
         paths[name] = path
     return paths
 
