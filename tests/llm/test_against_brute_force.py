@@ -385,3 +385,17 @@ def test_chunk_boundaries_resist_shifts():
     lines = [b"line %d" % i for i in range(300)]
     whole, moved = set(chunk_ends(lines)), {e - 2 for e in chunk_ends([b"new", b"two", *lines])}
     assert len(whole & moved) >= 0.8 * len(whole)
+
+
+def test_rules_are_learnt_from_few_labels(spark):
+    """The small test tables are enough for a rule that spares every good document."""
+    from tests.conftest import SF_MID
+    from tillsight.llm import quality_rules as q
+    rows = {r["doc_id"]: r for r in q.judge_documents(
+        spark.read.parquet(f"{SF_MID}/documents.parquet"),
+        spark.read.parquet(f"{SF_MID}/labels.parquet")).collect()}
+    labels = [r for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()
+              if r["quality"] is not None and not rows[r["doc_id"]]["base_failed"]]
+    bad = [rows[r["doc_id"]]["kept"] for r in labels if r["quality"] == 0]
+    good = [rows[r["doc_id"]]["kept"] for r in labels if r["quality"] == 1]
+    assert len(bad) > 20 and sum(bad) < 0.2 * len(bad) and sum(good) > 0.98 * len(good)

@@ -6,8 +6,9 @@
    rule is a conjunction of threshold tests; it is grown test by test on two thirds
    of the rows still uncovered (FOIL gain over candidate thresholds), cut back to
    the prefix with the best value on the other third, and accepted while its
-   precision there is at least ``min_precision``.  One aggregate per test returns a
-   histogram (statistics x thresholds x classes) to the driver, nothing else.
+   precision there is at least ``min_precision`` and, with Laplace's correction, so is
+   that over all rows it covers.  Rows that the base rule rejects anyway teach nothing
+   and are left out.  One aggregate per test returns a histogram (statistics x thresholds x classes) to the driver, nothing else.
    Fitting takes at most about ``max_rows`` labelled rows (chosen by a hash of the
    id); applying covers all rows.
 3. :func:`keep_expression` emits the ordered list as one Spark conditional expression.
@@ -182,11 +183,13 @@ def learn_rules(stats: DataFrame, bad: str, id_col: str = "doc_id", max_rows: in
     for _ in range(max_rules):
         tests: list[tuple] = []
         prefixes: list[tuple[int, int]] = []
+        all_rows: list[tuple[int, int]] = []
         part = left
         while True:
             grow, prune = histograms(part)
             prefixes.append(held(prune))
             p, g = held(grow)
+            all_rows.append((p + prefixes[-1][0], g + prefixes[-1][1]))
             _, best = _best_test(grow, thresholds, set(tests)) if p and g else (0, None)
             if best is None or len(tests) == max_tests:
                 break
@@ -196,8 +199,9 @@ def learn_rules(stats: DataFrame, bad: str, id_col: str = "doc_id", max_rows: in
         length = max(range(1, len(tests) + 1), key=lambda k: (value[k], -k), default=0)
         if not length:
             break
-        p, g = prefixes[length]
-        if p + g < min_support or (p + 1) / (p + g + 2) < min_precision:
+        (p, g), (p_all, g_all) = prefixes[length], all_rows[length]
+        if p_all + g_all < min_support or p < min_precision * (p + g) or not p \
+                or (p_all + 1) / (p_all + g_all + 2) < min_precision:
             break
         rules.append(tuple(Test(f, above, float(thresholds[f][k]))
                            for f, above, k in tests[:length]))
@@ -224,7 +228,8 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = stored(text_statistics(docs), "text-statistics")
     marked = labels.filter(F.col("quality").isNotNull()) \
         .select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("__low"))
-    rules = learn_rules(stats.join(marked, F.col("doc_id") == F.col("__id")), "__low")
+    rules = learn_rules(stats.join(marked, F.col("doc_id") == F.col("__id"))
+                        .filter(~base_failed()), "__low")
     judged = stats.withColumn("base_failed", base_failed()) \
         .withColumns({f: e for f, e in rule_features().items() if f not in stats.columns})
     return judged.select(
