@@ -110,4 +110,71 @@ FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN nodes p ON p.path = n.up
 LEFT JOIN kids k ON k.path = n.path LEFT JOIN ends e ON e.path = n.path
 """
 
-SQL = {"op12_spelling": SPELLING, "op13_prefix_trie": PREFIX_TRIE}
+# a word goes if one of the 13 windows that cover it starts in an earlier document as well
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents),
+placed AS (
+  SELECT rid, doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM texts),
+windows AS (
+  SELECT rid, doc_id, i, words[i] AS word,
+         CASE WHEN i + 12 <= len(words) THEN array_to_string(words[i:i + 12], ' ') END AS win
+  FROM placed),
+earliest AS (SELECT win, min(doc_id) AS least FROM windows WHERE win IS NOT NULL GROUP BY win),
+marked AS (
+  SELECT rid, i, word, coalesce(least < doc_id, FALSE) AS again
+  FROM windows LEFT JOIN earliest USING (win)),
+covered AS (
+  SELECT rid, i, word, bool_or(again) OVER (
+    PARTITION BY rid ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked),
+kept AS (
+  SELECT rid, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS body
+  FROM covered GROUP BY rid)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
+
+# Two sets with similarity 0.8 share one of their rarest n - ceil(0.8 n) + 1 elements; equal
+# sets are one class, and classes reach one another over links.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_sort(list_distinct(list_transform(
+           range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s
+  FROM texts),
+classes AS (SELECT min(doc_id) AS c, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+elements AS (SELECT c, n, unnest(s) AS e FROM classes),
+ranked AS (
+  SELECT c, n, e, row_number() OVER (PARTITION BY c ORDER BY often, e) AS place
+  FROM elements JOIN (SELECT e, count(*) AS often FROM elements GROUP BY e) USING (e)),
+rare AS (SELECT c, n, e FROM ranked WHERE place <= n - ceil(0.8 * n) + 1),
+candidates AS (
+  SELECT DISTINCT a.c AS a, b.c AS b FROM rare a JOIN rare b ON a.e = b.e AND a.c < b.c
+  AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (
+  SELECT k.a, k.b FROM candidates k JOIN elements x ON x.c = k.a
+  JOIN elements y ON y.c = k.b AND y.e = x.e
+  GROUP BY k.a, k.b, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT c AS a, c AS b FROM classes
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l
+  ON l.a = r.b)
+SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(r.component, s.doc_id) AS component_id,
+       s.doc_id = coalesce(r.component, s.doc_id) AS kept
+FROM sets s LEFT JOIN classes k ON k.s = s.s
+LEFT JOIN (SELECT a, min(b) AS component FROM reach GROUP BY a) r ON r.a = k.c
+"""
+
+SQL = {"op7_substring_dedup": SUBSTRING_DEDUP, "op9_near_duplicates": NEAR_DUPLICATES,
+       "op12_spelling": SPELLING, "op13_prefix_trie": PREFIX_TRIE}
