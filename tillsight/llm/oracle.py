@@ -176,5 +176,28 @@ FROM sets s LEFT JOIN classes k ON k.s = s.s
 LEFT JOIN (SELECT a, min(b) AS component FROM reach GROUP BY a) r ON r.a = k.c
 """
 
+# every repeated run of two or more lines is one of repeated pairs of lines
+LINE_CHUNKS = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines
+  FROM documents),
+placed AS (SELECT rid, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM texts),
+pairs AS (
+  SELECT rid, i, row_number() OVER (
+    PARTITION BY lines[i] || chr(10) || lines[i + 1] ORDER BY doc_id, i) AS nth
+  FROM placed WHERE i < len(lines)
+  AND regexp_matches(lines[i] || lines[i + 1], '[^\x20\x09-\x0D]')),
+gone AS (
+  SELECT DISTINCT rid, unnest([i, i + 1]) AS i FROM pairs WHERE nth > 1),
+kept AS (
+  SELECT p.rid, count(*) AS n_lines, count(g.i) AS n_removed,
+         string_agg(p.lines[p.i], chr(10) ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS body
+  FROM placed p LEFT JOIN gone g ON g.rid = p.rid AND g.i = p.i GROUP BY p.rid)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(body, '')) END AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
+
 SQL = {"op7_substring_dedup": SUBSTRING_DEDUP, "op9_near_duplicates": NEAR_DUPLICATES,
+       "op10_line_chunks": LINE_CHUNKS,
        "op12_spelling": SPELLING, "op13_prefix_trie": PREFIX_TRIE}
