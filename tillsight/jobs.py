@@ -4,12 +4,14 @@
     python -m tillsight.jobs marts --warehouse <warehouse dir> --out <marts dir>
                                    [--years 2010,2011] [--countries "EIRE,France"]
                                    --home "United Kingdom" --rfm-date "2011-12-10 00:00:00"
+                                   [--churn-cutoff "2010-12-10 00:00:00"]
 
 ``etl`` cleans the raw export, writes the flat clean tables (Parquet partitioned by
 year, month, plus CSV copies), builds the star schema and writes its five tables;
 the cleaning report and the row counts are written next to them.  ``marts`` reads a
 stored star schema and writes every mart (warehouse views and queries, dashboard
-tabs under the optional filter, exploratory reports, data-quality reports).
+tabs under the optional filter, exploratory reports, data-quality reports, and with
+a cutoff date the evaluation of both churn models).
 
 Outputs are written with ``overwrite``: re-running a job replaces its output.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from tillsight import params as P
 from tillsight.model import Retail
 from tillsight.operators import cleaning, quality
-from tillsight.plans import dashboard, eda, etl, star, views
+from tillsight.plans import churn, dashboard, eda, etl, star, views
 from tillsight.sources.csv import malformed_values, read_raw_transactions, write_csv
 from tillsight.sources.ordered import write_ordered
 from tillsight.sources.sinks import write_table
@@ -81,10 +83,11 @@ def read_star(spark: SparkSession, out: str, derived: bool = True) -> Retail:
 
 def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None = None,
           home: str = P.HOME_COUNTRY,
-          rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, DataFrame]:
+          rfm_date: str = P.RFM_REFERENCE_DATE,
+          churn_cutoff: str | None = None) -> dict[str, DataFrame]:
     """Every mart over a star schema; dashboard tabs under the given filter, exploratory
     reports over ``eda_totals`` (the summary of the exploratory lines; without one, over the
-    star's invoices)."""
+    star's invoices).  With ``churn_cutoff``, both churn models are fitted and evaluated."""
     out: dict[str, DataFrame] = {}
     r = replace(r, rfm=views.rfm_scored(r, rfm_date), ranking=views.product_ranking(r))
     for name in ("monthly_growth", "monthly_revenue", "top_customers", "rfm_segments",
@@ -110,6 +113,15 @@ def marts(r: Retail, years=None, countries=None, eda_totals: DataFrame | None =
         out[f"eda/{name}"] = getattr(eda, name)(e)
     out["eda/home_market_share"] = eda.home_market_share(e, home)
     out["eda/intl_markets"] = eda.intl_markets(e, home)
+    if churn_cutoff is not None:
+        features = churn.churn_features(r, churn_cutoff)
+        out["churn/churn_features"] = features
+        for model in churn.MODELS:
+            # one fit a model, shared by its marts
+            scored = replace(r, churn={model: churn.churn_scores(
+                r, model=model, cutoff=churn_cutoff).checkpoint()})
+            out[f"churn/{model}_eval"] = churn.churn_eval(scored, model=model)
+            out[f"churn/{model}_cost_benefit"] = churn.churn_cost_benefit(scored, model=model)
     for name in ("dq_not_null", "dq_check", "dq_pk_dups", "dq_fk_orphans"):
         out[f"quality/{name}"] = getattr(quality, name)(r)
     out["quality/customer_orphans"] = quality.customer_orphans(r.customers)
@@ -147,11 +159,13 @@ MART_ORDER = {
 
 def run_marts(spark: SparkSession, warehouse: str, out: str, years=None,
               countries=None, home: str = P.HOME_COUNTRY,
-              rfm_date: str = P.RFM_REFERENCE_DATE) -> dict[str, str]:
+              rfm_date: str = P.RFM_REFERENCE_DATE,
+              churn_cutoff: str | None = None) -> dict[str, str]:
     r = read_star(spark, warehouse)
     summary = spark.read.parquet(f"{warehouse}/eda_totals").select(*etl.EDA_SUMMARY)
     paths = {}
-    for name, df in marts(r, years, countries, summary, home, rfm_date).items():
+    for name, df in marts(
+            r, years, countries, summary, home, rfm_date, churn_cutoff).items():
         path = f"{out}/{name}"
         if name in MART_ORDER:
             write_ordered(df, path, MART_ORDER[name])
@@ -174,6 +188,8 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--countries", default="", help="comma-separated; empty for all")
     m.add_argument("--home", required=True, help="country of the home market")
     m.add_argument("--rfm-date", required=True, help="RFM reference date")
+    m.add_argument("--churn-cutoff", default=None,
+                   help="fit and evaluate the churn models at this date; omit for none")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"tillsight-{args.job}").getOrCreate()
     if args.job == "etl":
@@ -181,7 +197,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         years = [int(y) for y in args.years.split(",") if y] if args.years is not None else None
         countries = [c for c in args.countries.split(",") if c]
-        run_marts(spark, args.warehouse, args.out, years, countries, args.home, args.rfm_date)
+        run_marts(spark, args.warehouse, args.out, years, countries, args.home, args.rfm_date,
+                  args.churn_cutoff)
 
 
 if __name__ == "__main__":

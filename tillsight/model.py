@@ -32,7 +32,7 @@ which case marts scan them instead of re-running the joins, and
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +52,8 @@ class Retail:
     # scores at the default reference date, and the product ranking
     rfm: DataFrame | None = None
     ranking: DataFrame | None = None
-    # optional stored churn holdout scores (default parameters)
-    churn: DataFrame | None = None
+    # optional stored churn holdout scores per model (default parameters)
+    churn: dict[str, DataFrame] = field(default_factory=dict)
 
     def invoice_totals(self) -> DataFrame:
         if self.totals is not None:
@@ -101,7 +101,7 @@ class Retail:
                 .select(*items.columns)
         # stored views describe the unfiltered tables: drop them
         return replace(self, invoices=inv, items=items, returns=ret, totals=tot, lines=lin, rfm=None,
-                       ranking=None, churn=None)
+                       ranking=None, churn={})
 
 
 def _in_years(ts: F.Column, years) -> F.Column:

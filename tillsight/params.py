@@ -55,3 +55,8 @@ CHURN_INCENTIVE_COST = 100.0
 CHURN_RETENTION_SUCCESS = 0.3
 CHURN_THRESHOLD = 0.5
 CHURN_SEED = 42
+# Boosted churn model: trees, levels of a tree, bins of a feature, shrinkage of a tree.
+CHURN_ROUNDS = 10
+CHURN_DEPTH = 3
+CHURN_BINS = 16
+CHURN_RATE = 0.3

@@ -1,4 +1,4 @@
-"""Churn prediction: features, a random forest, precision / recall, cost-benefit.
+"""Churn prediction: features, two models, precision / recall, cost-benefit.
 
 The reference describes this project part (classifier, precision and recall,
 saved churn versus incentive cost) without code, features or label; the
@@ -8,8 +8,9 @@ definitions here are ours and are parameters in :mod:`tillsight.params`:
   tenure in days, invoices, revenue, revenue of the last year;
 * label ``churned = 1`` when the customer has no invoice in the horizon after the
   cutoff;
-* a seeded ``RandomForestClassifier`` (MLlib: distributed tree building) trained
-  on a hash-based 80 % of customers and evaluated on the rest;
+* two models trained on a hash-based 80 % of customers and evaluated on the rest:
+  a seeded ``RandomForestClassifier`` (MLlib: distributed tree building) and boosted
+  trees (:mod:`tillsight.operators.boosting`: one aggregate a level);
 * precision / recall from grouped counts; the cost-benefit sweep buckets the
   churn probability on a 1/20 grid (partial aggregation) and accumulates the
   ≤ 21 bucket rows — no cross join, no per-threshold pass over the data.
@@ -17,6 +18,8 @@ definitions here are ours and are parameters in :mod:`tillsight.params`:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,8 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight import params as P
-from tillsight.functions.numeric import as_double, ddiv
+from tillsight.functions.numeric import as_double, ddiv, dround
 from tillsight.model import Retail
+from tillsight.operators import boosting
 
 FEATURES = ["recency_days", "frequency", "monetary", "tenure_days", "last_year_revenue"]
 GRID = 20
@@ -59,27 +63,44 @@ def churn_features(r: Retail, cutoff: str = P.CHURN_CUTOFF,
 
 
 def _is_test(seed: int) -> F.Column:
-    # holdout by a seeded hash of the customer: stable under any partitioning
-    return F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(5)) == 0
+    # holdout by a seeded digest of the customer: stable under any partitioning
+    digest = F.md5(F.concat_ws(",", F.lit(str(seed)), F.col("customer_id").cast("string"))
+                   .cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(5) == 0
 
 
-def churn_scores(r: Retail, seed: int = P.CHURN_SEED, **kw) -> DataFrame:
-    """Holdout customers with label, churn probability and their revenue at stake."""
-    if r.churn is not None and seed == P.CHURN_SEED and not kw:
-        return r.churn
-    feats = churn_features(r, **kw).withColumn("is_test", _is_test(seed))
+def _forest(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="features"),
         RandomForestClassifier(labelCol="churned", featuresCol="features", numTrees=40,
                                maxDepth=5, seed=seed)])
-    model = pipeline.fit(feats.filter(~F.col("is_test")))
-    scored = model.transform(feats.filter(F.col("is_test")))
-    return scored.select("customer_id", "churned", "last_year_revenue",
-                         vector_to_array("probability")[1].alias("p_churn"))
+    return pipeline.fit(train).transform(test) \
+        .withColumn("p_churn", vector_to_array("probability")[1])
+
+
+def _boosted(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
+    # nothing is drawn: the model follows from the rows alone
+    model = boosting.fit(train, FEATURES, "churned", rounds=P.CHURN_ROUNDS,
+                         depth=P.CHURN_DEPTH, bins=P.CHURN_BINS, rate=P.CHURN_RATE)
+    return model.score(test, "p_churn")
+
+
+MODELS: dict[str, Callable[[DataFrame, DataFrame, int], DataFrame]] = {
+    "forest": _forest, "boosted": _boosted}
+
+
+def churn_scores(r: Retail, seed: int = P.CHURN_SEED, model: str = "forest", **kw) -> DataFrame:
+    """Holdout customers with label, churn probability and their revenue at stake."""
+    if model in r.churn and seed == P.CHURN_SEED and not kw:
+        return r.churn[model]
+    feats = churn_features(r, **kw).withColumn("is_test", _is_test(seed))
+    scored = MODELS[model](feats.filter(~F.col("is_test")), feats.filter(F.col("is_test")), seed)
+    return scored.select("customer_id", "churned", "last_year_revenue", "p_churn")
 
 
 def churn_eval(r: Retail, threshold: float = P.CHURN_THRESHOLD, **kw) -> DataFrame:
-    """Confusion counts, precision and recall at ``threshold`` on the holdout."""
+    """Confusion counts, precision and recall at ``threshold`` on the holdout
+    (``model="forest"`` or ``"boosted"``)."""
     s = churn_scores(r, **kw).withColumn("pred", (F.col("p_churn") >= threshold).cast("int"))
     c = s.agg(
         F.count(F.lit(1)).alias("customers"),
@@ -101,8 +122,9 @@ def churn_cost_benefit(r: Retail, incentive: float = P.CHURN_INCENTIVE_COST,
     per_bucket = s.groupBy(bucket.alias("bucket")).agg(
         F.count_if(F.col("churned") == 1).alias("pos"),
         F.count_if(F.col("churned") == 0).alias("neg"),
-        F.sum(F.when(F.col("churned") == 1, F.col("last_year_revenue")).otherwise(0.0))
-        .alias("pos_value"))
+        # cents: an exact sum in any order
+        F.sum(F.when(F.col("churned") == 1, F.col("last_year_revenue").cast("decimal(18,2)")))
+        .cast("double").alias("pos_value"))
     spark = s.sparkSession
     grid = spark.range(GRID + 1).select(F.col("id").cast("int").alias("bucket"))
     # the grid has GRID + 1 rows: the windows below are bounded by it
@@ -122,7 +144,33 @@ def churn_cost_benefit(r: Retail, incentive: float = P.CHURN_INCENTIVE_COST,
         "tp", "fp", (F.col("positives") - F.col("tp")).alias("fn"),
         ddiv("tp", F.col("tp") + F.col("fp")).alias("precision"),
         ddiv("tp", "positives").alias("recall"),
-        (F.col("tp_value") * F.lit(success)).alias("saved_value"),
+        # money to the cent
+        dround(F.col("tp_value") * F.lit(success), 2).alias("saved_value"),
         ((F.col("tp") + F.col("fp")) * F.lit(incentive)).alias("incentive_cost"),
-        (F.col("tp_value") * F.lit(success)
-         - (F.col("tp") + F.col("fp")) * F.lit(incentive)).alias("net_value"))
+        dround(F.col("tp_value") * F.lit(success)
+               - (F.col("tp") + F.col("fp")) * F.lit(incentive), 2).alias("net_value"))
+
+
+def churn_boosted_scores(r: Retail) -> DataFrame:
+    """Holdout customers with the boosted model's churn probability to six decimals."""
+    return churn_scores(r, model="boosted").select(
+        "customer_id", "churned", dround("p_churn", 6).alias("p_churn"))
+
+
+def churn_boosted_eval(r: Retail) -> DataFrame:
+    """:func:`churn_eval` of the boosted model."""
+    return churn_eval(r, model="boosted")
+
+
+def churn_boosted_cost_benefit(r: Retail) -> DataFrame:
+    """:func:`churn_cost_benefit` of the boosted model."""
+    return churn_cost_benefit(r, model="boosted")
+
+
+def churn_models(r: Retail, threshold: float = P.CHURN_THRESHOLD, **kw) -> DataFrame:
+    """Both models on the same holdout: one row of :func:`churn_eval` each."""
+    first, *rest = [churn_eval(r, threshold, model=m, **kw).withColumn("model", F.lit(m))
+                    for m in MODELS]
+    for other in rest:
+        first = first.unionByName(other)
+    return first

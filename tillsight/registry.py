@@ -92,6 +92,13 @@ def _register_churn() -> None:
                                          warehouse.synthetic_with_churn),
     })
 
+    def boosted(spark: SparkSession, folder: str) -> Retail:
+        return warehouse.synthetic_with_churn(spark, folder, "boosted")
+    QUERIES.update({
+        name: _view_mart(getattr(churn, name), boosted) for name in (
+            "churn_boosted_scores", "churn_boosted_eval", "churn_boosted_cost_benefit")
+    })
+
 
 _register_churn()
 

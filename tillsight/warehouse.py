@@ -201,13 +201,14 @@ def synthetic_with_ranking(spark: SparkSession, folder: str) -> Retail:
                    ranking=_stored_view(spark, folder, "ranking", product_ranking))
 
 
-def synthetic_with_churn(spark: SparkSession, folder: str) -> Retail:
-    """The stored canonical model plus the churn model's holdout scores, stored
+def synthetic_with_churn(spark: SparkSession, folder: str, model: str = "forest") -> Retail:
+    """The stored canonical model plus a churn model's holdout scores, stored
     once per session, so the evaluation and the cost-benefit sweep read the same
     fitted model."""
     from tillsight.plans.churn import churn_scores
     return replace(synthetic(spark, folder),
-                   churn=_stored_view(spark, folder, "churn", churn_scores))
+                   churn={model: _stored_view(spark, folder, f"churn-{model}",
+                                              lambda r: churn_scores(r, model=model))})
 
 
 def raw_export_csv(spark: SparkSession, folder: str) -> str:
