@@ -71,8 +71,10 @@ def test_warc_records(spark, tmp_path):
         headers = {x["k"]: x["v"] for x in r["headers"]}
         assert headers["WARC-Refers-To"] == r["refers_to"] == source["WARC-Record-ID"]
         assert headers["WARC-Target-URI"] == source["WARC-Target-URI"]
-        assert r["source_payload_digest"] == warc.digest(body) == headers["WARC-Payload-Digest"]
-        assert r["block_digest"] == warc.digest(r["block"].encode())
+        assert r["source_payload_digest"] == warc.digest(body) \
+            == headers["WARC-Refers-To-Payload-Digest"]
+        assert r["block_digest"] == warc.digest(r["block"].encode()) \
+            == headers["WARC-Payload-Digest"]
         assert "<p>" not in r["block"] or r["record_type"] == "metadata"
     warc.write_warc(out, str(tmp_path / "w"))
     back = warc.read_warc(spark, f"{tmp_path}/w/*.txt").collect()

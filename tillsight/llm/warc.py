@@ -7,9 +7,12 @@ A response becomes two records that point back at it:
 * ``conversion``: the plain text of an HTML or text payload.
 
 Both carry ``WARC-Refers-To`` (the response's record id), ``WARC-Refers-To-Target-URI``
-and ``-Date``, the source's WARC headers that describe the capture, the payload digest
-(stored, and recomputed to verify it), and a block digest of their own.  Record ids are
-name-based on (response id, type), so reruns give the same ids.
+and ``-Date``, the source's WARC headers that describe the capture, the source's payload
+digest as ``WARC-Refers-To-Payload-Digest`` (as stated, else computed; metadata says whether
+a stated one is right), and payload and block digests of their own.  Record ids are name-based
+on (response id, type), so reruns give the same ids.
+
+Markup is read in one pass, in time proportional to its length whatever it holds.
 
 All work is one map over the responses, in bounded batches, with no shuffle.  Files are
 written by Spark's text writer (records are UTF-8), the two line ends that close a record
@@ -17,13 +20,14 @@ being its line separator, as plain or gzipped WARC; :func:`read_warc` parses fil
 
 Defined cases: a null payload is empty; a null URI is left out of the headers; a payload
 that is neither HTML nor text has no conversion; bytes that are not UTF-8 are decoded by
-the declared charset, with replacement; equal rows give equal records; unclosed markup
+the declared charset, with replacement (by UTF-8 if it names no character set); equal rows give equal records; unclosed markup
 ends with the text; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html
 import re
@@ -44,13 +48,19 @@ CARRIED = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID"
 BLOCKS = set("address article aside blockquote br dd div dl dt fieldset figcaption figure "
              "footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section "
              "select table tbody td tfoot th thead title tr ul".split())
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)"
-    r"|</?([a-zA-Z][a-zA-Z0-9]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
-    re.S | re.I)
-_TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html[^>]*\blang=[\"']?([\w-]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*\bhref=[\"']?([^\"'\s>]+)", re.I)
+#: Elements whose whole content is no readable text.
+SKIPPED = ("script", "style", "noscript", "template", "svg")
+#: Python codecs that are no character sets of documents.
+NO_CHARSETS = {"idna", "punycode", "undefined", "unicode-escape", "raw-unicode-escape", "utf-7"}
+# every quantifier is possessive and every match is consumed, so a page is read once
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9]*+))")
+_REST = re.compile(
+    r"[^>\"'=]*+(?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+[^>\"'=]*+|[\"'][^>\"'=]*+)*+>?")
+_ATTRIBUTE = re.compile(
+    r"([^\s/>=\"'][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]*+)))?+")
+_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in SKIPPED}
+_TITLE_END = re.compile(r"</title", re.I)
+_NUMBER = re.compile(r"&#(?:0*+([0-9]{8,}+)|[xX]0*+([0-9a-fA-F]{8,}+));?")
 _CHARSET = re.compile(r"charset=[\"']?([\w-]+)", re.I)
 
 
@@ -62,12 +72,69 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '|'.join(parts))}>"
 
 
+def unescape(text: str) -> str:
+    """Character references resolved; numbers beyond Unicode become U+FFFD."""
+    return html.unescape(_NUMBER.sub("\ufffd", text))
+
+
+class Page:
+    """What one pass over an HTML document finds: text, title, language and outlinks.
+
+    Unclosed comments, tags, quoted values and skipped elements reach to the end.
+    """
+
+    def __init__(self, markup: str):
+        self.title: str | None = None
+        self.language: str | None = None
+        self.outlinks: list[str] = []
+        kept, at = [], 0
+        while (start := markup.find("<", at)) >= 0:
+            kept.append(markup[at:start])
+            m = _OPEN.match(markup, start)
+            if m is None:
+                kept.append("<")
+                at = start + 1
+            elif m[1] or m[2]:
+                close = "-->" if m[1] else ">"
+                end = markup.find(close, m.end())
+                at = len(markup) if end < 0 else end + len(close)
+            else:
+                name = m[4].lower()
+                at = _REST.match(markup, m.end()).end()
+                if not m[3]:
+                    self._opened(name, markup, m.end(), at)
+                if name in BLOCKS:
+                    kept.append("\n")
+                elif name in _END and not m[3]:
+                    end = _END[name].search(markup, m.end())
+                    at = end.end() if end else len(markup)
+        kept.append(markup[at:])
+        lines = (" ".join(line.split()) for line in unescape("".join(kept)).split("\n"))
+        self.text = "\n".join(line for line in lines if line)
+
+    def _opened(self, name: str, markup: str, begin: int, end: int) -> None:
+        if name == "title" and self.title is None:
+            close = _TITLE_END.search(markup, end)
+            self.title = " ".join(unescape(
+                markup[end:close.start() if close else len(markup)]).split())
+        elif name == "a" and (link := _attribute("href", markup, begin, end)):
+            # a field is one line: URLs hold no line ends
+            self.outlinks.append("".join(unescape(link).strip().splitlines()))
+        elif name == "html" and self.language is None:
+            self.language = " ".join((_attribute("lang", markup, begin, end) or "").split()) or None
+
+
+def _attribute(name: str, markup: str, begin: int, end: int) -> str | None:
+    """Value of a tag's first attribute of this name."""
+    for m in _ATTRIBUTE.finditer(markup, begin, end):
+        if m[1].lower() == name:
+            return next((v for v in m.group(2, 3, 4) if v is not None), None)
+    return None
+
+
 def plain_text(markup: str) -> str:
     """Readable lines of an HTML document."""
-    mark = lambda m: "\n" if (m.group(2) or "").lower() in BLOCKS else ""
-    text = html.unescape(_MARKUP.sub(mark, markup))
-    lines = (" ".join(line.split()) for line in text.split("\n"))
-    return "\n".join(line for line in lines if line)
+    return Page(markup).text
 
 
 def split_head(block: bytes) -> tuple[list[tuple[str, str]], bytes, str]:
@@ -83,10 +150,12 @@ def _get(headers, name: str, default: str | None = None) -> str | None:
 
 
 def _decode(body: bytes, content_type: str) -> str:
+    """The text by its declared character set; by UTF-8 where there is none of that name."""
     m = _CHARSET.search(content_type)
     try:
-        return body.decode(m[1] if m else "utf-8", "replace")
-    except LookupError:
+        name = codecs.lookup(m[1]).name if m else "utf-8"
+        return body.decode("utf-8" if name in NO_CHARSETS else name, "replace")
+    except (LookupError, ValueError):
         return body.decode("utf-8", "replace")
 
 
@@ -103,20 +172,20 @@ def derive_records(headers: list[tuple[str, str]], block: bytes) -> Iterator[dic
         if (v := _get(headers, f"WARC-{name}")) is not None:
             linked.append((f"WARC-Refers-To-{name}", v))
     markup = _decode(body, kind) if "html" in kind or kind.startswith("text/") else None
-    text = None if markup is None else plain_text(markup) if "html" in kind else markup
+    page = Page(markup) if markup is not None and "html" in kind else None
+    text = page.text if page else markup
 
     facts = [("source-status", status), ("source-payload-digest", payload),
              ("source-digest-valid", "unstated" if stated is None
               else str(stated == payload).lower()),
              *((f"source-{k.lower()}", v) for k, v in http)]
-    if markup is not None and "html" in kind:
-        if m := _TITLE.search(markup):
-            facts.append(("title", " ".join(html.unescape(m[1]).split())))
-        if m := _LANG.search(markup):
-            facts.append(("language", m[1]))
-        facts += [("outlink", html.unescape(x)) for x in _HREF.findall(markup)]
+    if page:
+        facts += [(k, v) for k, v in (("title", page.title), ("language", page.language))
+                  if v is not None]
+        facts += [("outlink", x) for x in page.outlinks]
     if text is not None:
-        facts += [("text-bytes", str(len(text.encode()))), ("text-words", str(len(text.split())))]
+        facts += [("text-bytes", str(len(text.encode("utf-8", "replace")))),
+                  ("text-words", str(len(text.split())))]
     parts = [("metadata", "application/warc-fields",
               "".join(f"{k}: {v}{CRLF}" for k, v in facts))]
     if text is not None:
@@ -124,8 +193,9 @@ def derive_records(headers: list[tuple[str, str]], block: bytes) -> Iterator[dic
     for record_type, content_type, content in parts:
         data = content.encode("utf-8", "replace")
         mine = [("WARC-Type", record_type), ("WARC-Record-ID", record_id(source, record_type)),
-                *linked, *carried, ("WARC-Payload-Digest", stated or payload),
-                ("WARC-Block-Digest", digest(data)), ("Content-Type", content_type),
+                *linked, *carried, ("WARC-Refers-To-Payload-Digest", stated or payload),
+                # the payload of these records is their block
+                ("WARC-Payload-Digest", digest(data)), ("WARC-Block-Digest", digest(data)), ("Content-Type", content_type),
                 ("Content-Length", str(len(data)))]
         yield {"record_type": record_type, "headers": mine, "block": data.decode(),
                "source_payload_digest": payload, "n_words": len(content.split())}
