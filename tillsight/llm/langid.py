@@ -77,6 +77,8 @@ class Words:
         tri = b[inside - 1] << 16 | b[inside] << 8 | b[inside + 1]
         self.slots = (tri * np.uint32(2654435761)) >> np.uint32(16)
         script = byte_scripts(self.buf)[inside]
+        # one byte of every letter, its first
+        self.starts = script > 0
         # continuation bytes belong to the character before them
         self.letter = (script > 0) | ((self.buf[inside] >= 0x80) & (self.buf[inside] < 0xC0))
         self.first = np.flatnonzero(blank[inside - 1])  # of each word, in ``inside``
@@ -213,7 +215,7 @@ def _label_texts(texts: list[bytes], m: Model | None, penalty: float,
         s -= s.max(1, keepdims=True)
         np.maximum(s, -cap, out=s)
         s[m.barred[w.script]] = -2 * cap
-        parts.append((s, w.per_text, w.sums(w.letter.astype(np.int64))))
+        parts.append((s, w.per_text, w.sums(w.starts.astype(np.int64))))
     scores, lengths, letters = (np.concatenate(p) for p in zip(*parts, strict=True))
     label = viterbi(scores, lengths, penalty)
     edge = np.concatenate([[0], np.cumsum(lengths)])
