@@ -98,7 +98,8 @@ def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], text: str = "text"
             .withColumnRenamed(f"__d{i}", f"__v{i}")
         placed = placed.join(bins, F.col(f"__d{i}").eqNullSafe(F.col(f"__v{i}"))) \
             .drop(f"__d{i}", f"__v{i}")
-    placed = hilbert_steps(placed, axes, bits, "__h").drop(*axes)
+    # the numbering reads its input three times: the joins and the curve are planned once
+    placed = stored(hilbert_steps(placed, axes, bits, "__h").drop(*axes), "shard-order")
     numbered = with_row_numbers(
         placed, [("__h", True), ("__hash", True), ("__id", True)], "__rn",
         total_count="__n")
