@@ -194,8 +194,11 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
     # tables with one row a pattern (``max_patterns`` at most) are broadcast: a pattern may
     # hold a third of all documents
     # seeded order inside each pattern; the row number is the row's own key
+    # a numbering reads its input three times, and here is read twice itself: both are stored,
+    # else the plan that the driver holds repeats the joins before it six times a pass
     offered = docs.join(F.broadcast(plan), F.col("__m").eqNullSafe(F.col("__pm"))).drop("__pm") \
         .withColumn("__draw", F.xxhash64(F.lit(seed), "__id", "__size"))
+    offered = stored(offered, "mix-offered")
     numbered = stored(with_row_numbers(
         offered, [("__p", True), ("__draw", True), ("__id", True), ("__size", True)],
         "__rn", {"__through": "__size"}), "mix-order")
@@ -208,9 +211,9 @@ def mix_sources(df: DataFrame, membership: Column, size: Column, id_col: str = "
         fits = rest.join(F.broadcast(got), "__p", "left") \
             .withColumn("__room", F.col("__left") - F.coalesce("__got", F.lit(0))) \
             .filter(F.col("__size") <= F.col("__room"))
-        running = with_row_numbers(
-            fits.select("__p", "__rn", "__size", "__room"), [("__p", True), ("__rn", True)],
-            "__at", {"__sum": "__size"})
+        fits = stored(fits.select("__p", "__rn", "__size", "__room"), "mix-fits")
+        running = stored(with_row_numbers(
+            fits, [("__p", True), ("__rn", True)], "__at", {"__sum": "__size"}), "mix-running")
         heads = running.groupBy("__p").agg(F.min(F.col("__sum") - F.col("__size")).alias("__h"))
         more = stored(running.join(F.broadcast(heads), "__p")
                       .filter(F.col("__sum") - F.col("__h") <= F.col("__room"))

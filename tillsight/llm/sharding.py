@@ -69,11 +69,11 @@ def hilbert_steps(df: DataFrame, axes: list[str], bits: int, out: str) -> DataFr
 
 def equal_depth_bins(df: DataFrame, column: str, bits: int, out: str) -> DataFrame:
     """(``column``, ``out``): the bin of every distinct value, by rows before it."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    # the numbering reads its input three times: the rows are counted once
+    counts = stored(df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")), "bin-counts")
     placed = with_row_numbers(counts, [(column, True)], "__rn", {"__through": "__n"})
-    total = df.agg(F.count(F.lit(1)).alias("__all"))
-    share = ((F.col("__through") - F.col("__n")) * (1 << bits)
-             / F.greatest(F.lit(total.first()[0]), F.lit(1)))
+    total = counts.agg(F.sum("__n")).first()[0] or 1
+    share = (F.col("__through") - F.col("__n")) * (1 << bits) / F.lit(total)
     return stored(placed.select(column, F.floor(share).cast("int").alias(out)), "bins")
 
 
