@@ -145,7 +145,9 @@ def by_midpoints(cloud: DataFrame, distance: int) -> DataFrame:
         (F.bit_count("mask") <= near).alias("near"))
     least = rows.groupBy("value").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("least"),
                                       F.count(F.lit(1)).alias("held")).filter("held > 1")
-    return rows.join(least.select("value", "least"), "value").filter("fp <> least") \
+    # a class's row became thousands, which the planner's estimate does not count: no broadcast
+    return rows.hint("merge").join(least.select("value", "least"), "value") \
+        .filter("fp <> least") \
         .select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
@@ -158,7 +160,8 @@ def links(classes: DataFrame, count: int, distance: int, large: int = LARGE) ->
     some = not crowded.isEmpty()
     if some:
         tables = tables.join(crowded, "key", "left_anti")
-    direct = tables.join(probes.withColumnRenamed("fp", "probe"), "key").filter(
+    # exploded on both sides, while the planner's estimate is that of the classes: no broadcast
+    direct = tables.hint("merge").join(probes.withColumnRenamed("fp", "probe"), "key").filter(
         (F.col("fp") != F.col("probe"))
         & (F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= distance)) \
         .select(F.least("fp", "probe").alias("a"), F.greatest("fp", "probe").alias("b")).distinct()
