@@ -146,11 +146,13 @@ def near_words(words: DataFrame, large: int = LARGE) -> DataFrame:
         # pieces of one code point: what meets here are near words, nearly all
         crowded = None if pieces > longest else stored(
             grams.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
-            .filter(F.col("held") > large).join(chunks.select("sig").distinct(), "sig")
+            .filter(F.col("held") > large)
+            .join(chunks.select("sig").distinct().hint("merge"), "sig")
             .select("sig"), "spelling-crowded")
         more = crowded is not None and not crowded.isEmpty()
         met = grams.join(crowded, "sig", "left_anti") if more else grams
-        met = chunks.join(met, "sig").filter(
+        # a word's row became dozens, which the planner's estimate does not count: no broadcast
+        met = chunks.hint("merge").join(met, "sig").filter(
             (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)) \
             .select("word", "n", "near", "near_n").distinct()
         found = met if found is None else found.union(met)
