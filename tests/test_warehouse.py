@@ -87,3 +87,21 @@ def test_equal_rows_are_counted_before_they_are_numbered(spark):
     # the rows are not sampled, and copies reach the numbering as one row
     plan = registry._jdf.queryExecution().optimizedPlan().toString()
     assert "GlobalLimit" not in plan and "row_number() windowspecdefinition(__k1" not in plan
+
+
+@pytest.mark.parametrize("key, tables", [
+    ("dq_not_null", {"customers", "products", "invoices"}),
+    ("load_checks", {"products", "invoices"}), ("quarantined_lines", {"products", "invoices"})])
+def test_a_check_stores_the_parents_it_reads(spark, folder, tmp_path, monkeypatch, key, tables):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    copy, write, during = tmp_path / "tables", warehouse._write, []
+    copy.symlink_to(folder)
+    monkeypatch.setattr(warehouse, "_write", lambda df, *a: (
+        during.append(spark.conf.get(setting)), write(df, *a))[1])
+    before = spark.conf.get(setting, None)
+    QUERIES[key](spark, str(copy)).collect()
+    kept = built(spark, str(copy))
+    parts = {"prices", "medians", "descriptions"}
+    assert kept == {f"etl-{t}" for t in {"raw", *tables, *parts}}
+    # what a table was shuffled for goes with its write
+    assert during == ["true"] * len(kept) and spark.conf.get(setting, None) == before
